@@ -137,7 +137,7 @@ def full_order() -> list[Column]:
 
 def engineer_full(typed: DataFrame, target_rows: int | None = stream.DEFAULT_TARGET_ROWS) -> DataFrame:
     """F1-F23 on typed packets.  Keeps the stream columns ``_seg``/``_lp``/``_cnt``."""
-    df = stream.segmented(typed, schema.DEVICE, "base_time", target_rows)
+    df = stream.segmented(typed, schema.DEVICE, "base_time", target_rows, reuse=True)
     df = stream.windowed(df, schema.DEVICE, full_order(), _build_full, FULL_LOOKBACK)
     df = _rules(df)
     # Event numbering runs over the whole file, in (gocb_ref, time) order.
@@ -153,6 +153,30 @@ def engineer_full(typed: DataFrame, target_rows: int | None = stream.DEFAULT_TAR
 # ---------------------------------------------------------------- "new" mode
 
 
+def rolling_moments(x: Column, w: WindowSpec, rows: int) -> tuple[Column, Column]:
+    """Mean and sample std over the last ``rows`` rows (min 1 value, std of one value -> 0).
+
+    Computed on offsets from the current value (lag(x, k) - x), so large
+    magnitudes such as epoch seconds keep their precision.
+    """
+    d = [F.lit(0.0).cast("double") if k == 0 else F.lag(x, k).over(w) - x for k in range(rows)]
+    d[0] = F.when(x.isNotNull(), F.lit(0.0))
+    n = sum_cols([d_k.isNotNull().cast("double") for d_k in d])
+    s1 = sum_cols([F.coalesce(d_k, F.lit(0.0)) for d_k in d])
+    s2 = sum_cols([F.coalesce(d_k * d_k, F.lit(0.0)) for d_k in d])
+    mean = F.when(n > 0, x + s1 / n)
+    var = F.when(n > 1, (s2 - s1 * s1 / n) / (n - 1))
+    std = F.coalesce(F.sqrt(F.greatest(var, F.lit(0.0))), F.lit(0.0))
+    return mean, std
+
+
+def sum_cols(cols: list[Column]) -> Column:
+    out = cols[0]
+    for c in cols[1:]:
+        out = out + c
+    return out
+
+
 def _build_new(df: DataFrame, w: WindowSpec) -> DataFrame:
     long = w.rowsBetween(-(ROLL_LONG - 1), 0)
     short = w.rowsBetween(-(ROLL_SHORT - 1), 0)
@@ -166,8 +190,8 @@ def _build_new(df: DataFrame, w: WindowSpec) -> DataFrame:
         F.coalesce(tm - F.lag(tm).over(w), F.lit(0.0)).alias("time_between_msgs"),
         F.avg(sq).over(long).alias("sqNum_roll_mean"),
         F.coalesce(F.stddev_samp(sq).over(long), F.lit(0.0)).alias("sqNum_roll_std"),
-        F.avg(tm).over(long).alias("Time_roll_mean"),
-        F.coalesce(F.stddev_samp(tm).over(long), F.lit(0.0)).alias("Time_roll_std"),
+        rolling_moments(tm, w, ROLL_LONG)[0].alias("Time_roll_mean"),
+        rolling_moments(tm, w, ROLL_LONG)[1].alias("Time_roll_std"),
         (F.col("precise_time") - F.lag(F.col("precise_time")).over(w)).alias("_delta_time"),
         F.avg(sq).over(short).alias("rolling_sqNum_mean"),
     )

@@ -74,10 +74,17 @@ def add_segment(df: DataFrame, time_col: str | Column, width: float, name: str =
 
 
 def segmented(df: DataFrame, keys: Sequence[str], time_col: str,
-              target_rows: int | None = DEFAULT_TARGET_ROWS) -> DataFrame:
-    """Adds ``_seg`` unless the frame already carries one for the same order."""
+              target_rows: int | None = DEFAULT_TARGET_ROWS, reuse: bool = False) -> DataFrame:
+    """Adds ``_seg`` (replacing any present one).
+
+    ``reuse=True`` keeps an existing ``_seg`` when the caller knows it was cut on
+    the same keys and time order (e.g. packets -> full-mode features), which
+    lets the planner reuse the partitioning.
+    """
     if SEG in df.columns:
-        return df
+        if reuse:
+            return df
+        df = df.drop(SEG, LP, CNT)
     return add_segment(df, time_col, segment_width(df, keys, time_col, target_rows))
 
 
@@ -177,3 +184,41 @@ def position(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name:
     """0-based position of each row in its key's stream, without a per-key window."""
     r = runs(df, keys, order, F.lit(0), F.lit(None).cast("int"), "_p")
     return r.withColumnRenamed("_p_pos", name).drop("_p_id", "_p_start")
+
+
+def segment_by_key(df: DataFrame, keys: Sequence[str], col: str,
+                   target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+    """``_seg`` from the value range of each key: ceil(n / target_rows) equal-width slices.
+
+    For orders over values (ranks) rather than time.  The per-key stats table has
+    one row per key; use it only where the number of keys is bounded by the
+    schema (e.g. attack type x feature).
+    """
+    keys = list(keys)
+    stats = df.groupBy(*keys).agg(F.count(F.col(col)).alias("_kn"), F.min(col).alias("_klo"),
+                                  F.max(col).alias("_khi"))
+    nseg = F.greatest(F.ceil(F.col("_kn") / F.lit(float(target_rows))), F.lit(1))
+    span = F.col("_khi") - F.col("_klo")
+    seg = F.when(F.col(col).isNull(), F.lit(NULL_SEG)).when(span <= 0, F.lit(0)).otherwise(
+        F.least(F.floor((F.col(col) - F.col("_klo")) / span * nseg), nseg - 1)).cast("bigint")
+    return (df.join(F.broadcast(stats), on=keys, how="left").withColumn(SEG, seg)
+            .drop("_kn", "_klo", "_khi"))
+
+
+def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column], cols: Sequence[str],
+                suffix: str = "_before") -> DataFrame:
+    """Sum of each column over the rows strictly before, in ``order``, within each key.
+
+    Within-segment window plus a carry from a per-segment totals table.
+    ``df`` must carry ``_seg`` (monotone in ``order``).
+    """
+    keys = list(keys)
+    pk = keys + [SEG]
+    w = Window.partitionBy(*pk).orderBy(*order).rowsBetween(_UNB, -1)
+    out = df.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"_in_{c}") for c in cols])
+    tot = df.groupBy(*pk).agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    wk = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(_UNB, -1)
+    tot = tot.select(*pk, *[F.coalesce(F.sum(f"_t_{c}").over(wk), F.lit(0)).alias(f"_c_{c}") for c in cols])
+    out = out.join(tot, on=pk, how="left")
+    return out.select(*[F.col(c) for c in df.columns],
+                      *[(F.col(f"_in_{c}") + F.col(f"_c_{c}")).alias(f"{c}{suffix}") for c in cols])

@@ -67,7 +67,11 @@ TYPED_CTE = f"""
 typed AS (
   SELECT packet_id, attack_type, split, gocb_ref, time_s, CAST(t AS VARCHAR) AS t, st_num, sq_num, ttl_ms,
          length, boolean_raw, bit_string, source, destination, value, attack,
-         CAST(NULL AS BIGINT) AS frame_len, CAST(NULL AS BIGINT) AS conf_rev,
+         CAST(NULL AS BIGINT) AS frame_len, CAST(1 + CAST(packet_id % 211 = 0 AS INT) AS BIGINT) AS conf_rev,
+         CAST(NULL AS DOUBLE) AS epoch_time, CAST(NULL AS DOUBLE) AS arrival_time,
+         CAST(NULL AS BIGINT) AS frame_len_stored, CAST(NULL AS DOUBLE) AS delta_captured,
+         CAST(NULL AS DOUBLE) AS delta_displayed, CAST(NULL AS DOUBLE) AS time_since_first,
+         CAST(NULL AS DOUBLE) AS time_shift,
          CAST(NULL AS VARCHAR) AS go_id, CAST(NULL AS VARCHAR) AS dat_set,
          {_flag_sql(0)} AS boolean_1, {_flag_sql(1)} AS boolean_2, {_flag_sql(2)} AS boolean_3,
          TRY_CAST(bit_string AS DOUBLE) AS bitstring_numeric,
@@ -156,3 +160,113 @@ features AS (
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
+
+
+_WN = "(PARTITION BY attack_type, split, gocb_ref ORDER BY t_epoch NULLS LAST, packet_id)"
+
+
+def _wn(k: int) -> str:
+    return (f"(PARTITION BY attack_type, split, gocb_ref ORDER BY t_epoch NULLS LAST, packet_id "
+            f"ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)")
+
+
+_BITS = ",\n".join(
+    f"CAST(CASE WHEN substr(coalesce(bit_string, 'nan'), {i + 1}, 1) IN ('0', '1') "
+    f"THEN CAST(substr(coalesce(bit_string, 'nan'), {i + 1}, 1) AS INT) ELSE 0 END AS BIGINT) AS bit_{i}"
+    for i in range(8))
+
+def _roll_parts(x: str, rows: int) -> tuple[str, str, str]:
+    d = [f"(CASE WHEN {x} IS NOT NULL THEN 0.0 END)"] + [f"(lag({x}, {k}) OVER {_WN} - {x})" for k in range(1, rows)]
+    n = " + ".join(f"CAST({e} IS NOT NULL AS DOUBLE)" for e in d)
+    s1 = " + ".join(f"coalesce({e}, 0.0)" for e in d)
+    s2 = " + ".join(f"coalesce({e} * {e}, 0.0)" for e in d)
+    return f"({n})", f"({s1})", f"({s2})"
+
+
+def _roll_mean(x: str, rows: int) -> str:
+    n, s1, _ = _roll_parts(x, rows)
+    return f"(CASE WHEN {n} > 0 THEN {x} + {s1} / {n} END)"
+
+
+def _roll_std(x: str, rows: int) -> str:
+    n, s1, s2 = _roll_parts(x, rows)
+    return f"coalesce(sqrt(greatest(CASE WHEN {n} > 1 THEN ({s2} - {s1} * {s1} / {n}) / ({n} - 1) END, 0.0)), 0.0)"
+
+
+NEW_CTE = f"""
+n0 AS (
+  SELECT *, TRY_CAST(t AS TIMESTAMP) AS tt, epoch_us(TRY_CAST(t AS TIMESTAMP)) / 1000000.0 AS t_epoch
+  FROM typed),
+n1 AS (
+  SELECT *,
+    CAST(day(tt) AS BIGINT) AS day, CAST(hour(tt) AS BIGINT) AS hour, CAST(second(tt) AS BIGINT) AS second,
+    CAST(epoch_us(tt) % 1000000 AS BIGINT) AS microsecond, CAST(isodow(tt) - 1 AS BIGINT) AS dayofweek,
+    CAST(floor(epoch_us(tt) / 1000000) AS BIGINT) AS unix_time,
+    boolean_1 AS bool_1, boolean_2 AS bool_2, boolean_3 AS bool_3,
+    CAST(coalesce(CAST(boolean_1 = 1 AS INT), 0) + coalesce(CAST(boolean_2 = 1 AS INT), 0)
+         + coalesce(CAST(boolean_3 = 1 AS INT), 0) AS BIGINT) AS bool_true_count,
+    CAST(coalesce(CAST(boolean_1 = 0 AS INT), 0) + coalesce(CAST(boolean_2 = 0 AS INT), 0)
+         + coalesce(CAST(boolean_3 = 0 AS INT), 0) AS BIGINT) AS bool_false_count,
+    CAST(length(coalesce(bit_string, 'nan')) AS BIGINT) AS bit_len,
+    CAST(length(coalesce(bit_string, 'nan')) - length(replace(coalesce(bit_string, 'nan'), '1', '')) AS BIGINT)
+      AS bit_ones,
+    CAST(length(coalesce(bit_string, 'nan')) - length(replace(coalesce(bit_string, 'nan'), '0', '')) AS BIGINT)
+      AS bit_zeros,
+    {_BITS}
+  FROM n0),
+n2 AS (
+  SELECT *,
+    bool_true_count / (bool_false_count + 1) AS bool_ratio,
+    CAST(bool_true_count > 0 AS BIGINT) AS bool_has_true,
+    CAST(bool_true_count = 0 AS BIGINT) AS bool_all_false,
+    unix_time + microsecond / 1e6 AS precise_time,
+    coalesce(CAST(st_num AS DOUBLE) - lag(CAST(st_num AS DOUBLE)) OVER {_WN}, 0.0) AS stNum_diff,
+    coalesce(CAST(sq_num AS DOUBLE) - lag(CAST(sq_num AS DOUBLE)) OVER {_WN}, 0.0) AS sqNum_diff,
+    coalesce(time_s - lag(time_s) OVER {_WN}, 0.0) AS time_between_msgs,
+    avg(CAST(sq_num AS DOUBLE)) OVER {_wn(10)} AS sqNum_roll_mean,
+    coalesce(stddev_samp(CAST(sq_num AS DOUBLE)) OVER {_wn(10)}, 0.0) AS sqNum_roll_std,
+    {_roll_mean('time_s', 10)} AS Time_roll_mean,
+    {_roll_std('time_s', 10)} AS Time_roll_std,
+    avg(CAST(sq_num AS DOUBLE)) OVER {_wn(5)} AS rolling_sqNum_mean
+  FROM n1),
+newf AS (
+  SELECT *,
+    CAST(stNum_diff > 0 AS BIGINT) AS stNum_increased,
+    CAST(sqNum_diff < 0 AS BIGINT) AS sqNum_reset,
+    ttl_ms / 2000 AS expected_interval,
+    abs(time_between_msgs - ttl_ms / 2000) AS time_deviation,
+    CAST(sq_num AS DOUBLE) / (CAST(st_num AS DOUBLE) + 1) AS sq_st_ratio,
+    coalesce(precise_time - lag(precise_time) OVER {_WN},
+             median(precise_time) OVER (PARTITION BY attack_type, split)) AS delta_time,
+    sqNum_diff AS delta_sqNum
+  FROM n2)"""
+
+BASE = [PACKETS_CTE, TYPED_CTE]
+
+
+def sql(select: str, *extra: str, full: bool = False, new: bool = False) -> str:
+    ctes = list(BASE)
+    if full:
+        ctes.append(FULL_CTE)
+    if new:
+        ctes.append(NEW_CTE)
+    ctes.extend(extra)
+    return with_ctes(*ctes) + select
+
+
+def rx(expr: str, digits: int = DIGITS) -> str:
+    """Rounded double: decimals below 1e9, whole numbers above (same rule as the Spark side)."""
+    x = f"CAST({expr} AS DOUBLE)"
+    # half-up on the decimal value, as Spark's round does
+    return (f"(CASE WHEN abs({x}) < 1e9 THEN CAST(ROUND(CAST({x} AS DECIMAL(38, 12)), {digits}) AS DOUBLE) "
+            f"ELSE ROUND({x}, 0) END)")
+
+
+def r(expr: str, name: str, digits: int = DIGITS) -> str:
+    """Rounded double output column."""
+    return f"{rx(expr, digits)} AS {name}"
+
+
+def b(expr: str, name: str) -> str:
+    """BIGINT output column."""
+    return f"CAST({expr} AS BIGINT) AS {name}"

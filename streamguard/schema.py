@@ -69,6 +69,7 @@ RAW_TYPES: dict[str, T.DataType] = {
     "go_id": T.StringType(),
     "dat_set": T.StringType(),
     "attack": T.IntegerType(),
+    "value": T.DoubleType(),  # payload value carried by the packets stand-in
 }
 
 # Projection per mode (S2), engine names; `advanced` adds the graph fields.

@@ -29,8 +29,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.memory", os.environ.get("STREAMGUARD_DRIVER_MEMORY", "16g"))
-        .getOrCreate()
     )
+    if os.environ.get("STREAMGUARD_EVENT_LOG"):
+        spark = (spark.config("spark.eventLog.enabled", "true")
+                 .config("spark.eventLog.dir", os.environ["STREAMGUARD_EVENT_LOG"]))
+    spark = spark.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     prepare(spark)
     return spark
