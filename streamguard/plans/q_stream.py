@@ -145,7 +145,7 @@ def null_key(spark, sf):
 
 
 @query("inf_to_null", "C9", O.sql(
-    "SELECT packet_id, CASE WHEN isinf(r) OR isnan(r) THEN NULL ELSE r END AS ratio FROM "
+    "SELECT packet_id, " + O.r("CASE WHEN isinf(r) OR isnan(r) THEN NULL ELSE r END", "ratio") + " FROM "
     "(SELECT packet_id, CASE WHEN value = 0 THEN CAST('inf' AS DOUBLE) ELSE 1.0 / value END AS r FROM typed)"))
 def inf_to_null(spark, sf):
     """Non-finite values of a derived ratio become null."""
