@@ -199,9 +199,9 @@ def mann_whitney(df: DataFrame, features: Sequence[str], group: str = "attack_ty
     n = n0 + n1
     u0 = F.col("r0") - n0 * (n0 + 1) / 2.0
     mu = n0 * n1 / 2.0
-    sigma = F.sqrt(n0 * n1 / 12.0 * ((n + 1) - F.col("ties") / (n * (n - 1))))
+    sigma = F.sqrt(n0 * n1 / 12.0 * ((n + 1) - F.try_divide(F.col("ties"), n * (n - 1))))
     u_big = F.greatest(u0, n0 * n1 - u0)
-    z = (u_big - mu - 0.5) / sigma
+    z = F.try_divide(u_big - mu - 0.5, sigma)
     return g.filter((F.col("n0") > 0) & (F.col("n1") > 0)).select(
         group, "feature", F.col("n0"), F.col("n1"), u0.alias("u"), z.alias("z"),
         F.least(F.lit(1.0), 2.0 * normal_sf(z)).alias("p_value"))
@@ -269,7 +269,7 @@ def separability(z: DataFrame, features: Sequence[str], by_label: bool = True) -
         F.sqrt(F.sum((F.col("ma") - F.col("mn")) ** 2)).alias("inter_class_distance"),
         ((F.avg("va") + F.avg("vn")) / 2).alias("intra_class_variance"),
         F.min("na").alias("na"), F.min("nn").alias("nn"))
-    score = F.col("inter_class_distance") / (F.sqrt("intra_class_variance") + EPS)
+    score = F.try_divide(F.col("inter_class_distance"), F.sqrt("intra_class_variance") + EPS)
     return t.filter((F.col("na") > 0) & (F.col("nn") > 0)).select(
         F.initcap("attack_type").alias("attack_type"), "inter_class_distance", "intra_class_variance",
         score.alias("separability_score"),
@@ -280,8 +280,10 @@ def separability(z: DataFrame, features: Sequence[str], by_label: bool = True) -
 def variance_rank(filled: DataFrame, features: Sequence[str]) -> DataFrame:
     """Sample variance per feature with a dense rank (descending)."""
     long = long_values(filled, features)
+    from ..plans.registry import rounded
     v = long.groupBy("feature").agg(F.var_samp("value").alias("variance"))
-    return v.withColumn("variance_rank", F.dense_rank().over(Window.orderBy(F.desc("variance"))))
+    # rank on the rounded value: equal variances that differ in the last bits tie
+    return v.withColumn("variance_rank", F.dense_rank().over(Window.orderBy(rounded(F.col("variance")).desc())))
 
 
 def corr_pairs(df: DataFrame, features: Sequence[str], chunk: int = 150) -> DataFrame:
@@ -294,15 +296,22 @@ def corr_pairs(df: DataFrame, features: Sequence[str], chunk: int = 150) -> Data
     rows = []
     for k in range(0, len(pairs), chunk):
         part = pairs[k:k + chunk]
-        r = df.agg(*[F.corr(dbl(a), dbl(b)).alias(f"c{j}") for j, (a, b) in enumerate(part)]).collect()[0]
+        r = df.agg(*[pearson(dbl(a), dbl(b)).alias(f"c{j}") for j, (a, b) in enumerate(part)]).collect()[0]
         rows += [(a, b, r[f"c{j}"]) for j, (a, b) in enumerate(part)]
     return spark.createDataFrame(rows, "feature_a string, feature_b string, corr double")
 
 
+def pearson(x: Column, y: Column) -> Column:
+    """Pearson correlation over complete pairs; null when a side is constant (ANSI-safe)."""
+    both = x.isNotNull() & y.isNotNull()
+    xx, yy = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_pop(xx, yy), F.stddev_pop(xx) * F.stddev_pop(yy))
+
+
 def corr_with_label(df: DataFrame, features: Sequence[str], label: str = "attack") -> DataFrame:
     """Correlation of each feature with the label (long output)."""
     long = long_values(df, features, [label])
-    return long.groupBy("feature").agg(F.corr("value", F.col(label).cast("double")).alias("corr"))
+    return long.groupBy("feature").agg(pearson(F.col("value"), F.col(label).cast("double")).alias("corr"))
 
 
 def corr_long(df: DataFrame, features: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
@@ -311,7 +320,7 @@ def corr_long(df: DataFrame, features: Sequence[str], ids: Sequence[str] = ()) -
     arr = F.array(*[F.struct(F.lit(a).alias("fa"), F.lit(b).alias("fb"), dbl(a).alias("x"), dbl(b).alias("y"))
                     for a, b in pairs])
     e = df.select(*ids, F.explode(arr).alias("p")).select(*ids, "p.*")
-    return e.groupBy(*ids, "fa", "fb").agg(F.corr("x", "y").alias("corr"))
+    return e.groupBy(*ids, "fa", "fb").agg(pearson(F.col("x"), F.col("y")).alias("corr"))
 
 
 # ------------------------------------------------------------------ A13-A26 (EDA, train split)

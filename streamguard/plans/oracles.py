@@ -254,12 +254,19 @@ def sql(select: str, *extra: str, full: bool = False, new: bool = False) -> str:
     return with_ctes(*ctes) + select
 
 
+SIG = 10
+
+
 def rx(expr: str, digits: int = DIGITS) -> str:
-    """Rounded double: decimals below 1e9, whole numbers above (same rule as the Spark side)."""
+    """Rounded double, same rule as ``registry.rounded``: decimals, then significant digits."""
     x = f"CAST({expr} AS DOUBLE)"
     # half-up on the decimal value, as Spark's round does
-    return (f"(CASE WHEN abs({x}) < 1e9 THEN CAST(ROUND(CAST({x} AS DECIMAL(38, 12)), {digits}) AS DOUBLE) "
-            f"ELSE ROUND({x}, 0) END)")
+    d = (f"(CASE WHEN abs({x}) < 1e20 THEN CAST(ROUND(CAST({x} AS DECIMAL(38, 12)), {digits}) AS DOUBLE) "
+         f"ELSE {x} END)")
+    k = f"({SIG - 1} - floor(log10(abs({d}))))"
+    return (f"(CASE WHEN {d} IS NULL OR {d} = 0 OR isnan({d}) THEN {d} "
+            f"WHEN {k} >= 0 THEN floor({d} * pow(10.0, {k}) + 0.5) / pow(10.0, {k}) "
+            f"ELSE floor({d} / pow(10.0, -{k}) + 0.5) * pow(10.0, -{k}) END)")
 
 
 def r(expr: str, name: str, digits: int = DIGITS) -> str:

@@ -26,8 +26,23 @@ QUERIES: dict[str, Query] = {}
 
 
 def rounded(c, digits: int = DIGITS):
-    """Decimals below 1e9, whole numbers above: both engines then agree bit for bit."""
-    return F.when(F.abs(c) < 1e9, F.round(c, digits)).otherwise(F.round(c, 0))
+    """Result-table rounding: ``digits`` decimals, at most SIG significant digits.
+
+    Sums taken in a different order differ in the last bits; rounding with the
+    same float operations on both engines makes equal results compare equal.
+    """
+    return sig_round(F.round(c, digits))
+
+
+SIG = 10
+
+
+def sig_round(c):
+    """Round to SIG significant digits with plain float operations (same formula in the oracle text)."""
+    k = F.lit(SIG - 1) - F.floor(F.log10(F.abs(c)))
+    up = F.floor(c * F.pow(F.lit(10.0), k) + 0.5) / F.pow(F.lit(10.0), k)
+    down = F.floor(c / F.pow(F.lit(10.0), -k) + 0.5) * F.pow(F.lit(10.0), -k)
+    return F.when(c.isNull() | (c == 0) | F.isnan(c), c).when(k >= 0, up).otherwise(down)
 
 
 def normalize(df: DataFrame, digits: int = DIGITS) -> DataFrame:
