@@ -200,21 +200,33 @@ def score_hist(spark, sf):
     return histogram(f.select("attack", SCORE), SCORE, ["attack"])
 
 
+def _avg4_sql(m: str) -> str:
+    """Mean of 4-decimal values, rounded half-up to 4 decimals, in exact integer units."""
+    s = f"SUM(CAST(round({O.rx(m, 4)} * 10000) AS BIGINT))"
+    return f"floor((2 * {s} + COUNT(*)) / (2.0 * COUNT(*))) / 10000.0"
+
+
 @query("average_row", "E16", O.sql(
     "SELECT upper(attack_type) AS attack_type, " + ", ".join(O.r(m, m, 4) for m in _METRICS + ["roc_auc"])
-    + " FROM t16 UNION ALL SELECT 'AVERAGE', " + ", ".join(O.r(f"avg({O.rx(m, 4)})", m, 4) for m in
+    + " FROM t16 UNION ALL SELECT 'AVERAGE', " + ", ".join(O.r(_avg4_sql(m), m, 4) for m in
                                                            _METRICS + ["roc_auc"]) + " FROM t16",
     *_EVAL, _SC, _AUC, "t16 AS (SELECT m.*, a.roc_auc FROM met m JOIN auc a USING (attack_type) "
     "WHERE model = 'heartbeat_rule')", full=True))
 def average_row(spark, sf):
-    """Per-attack table of the heartbeat detector (4 decimals) plus an AVERAGE row."""
+    """Per-attack table of the heartbeat detector (4 decimals) plus an AVERAGE row.
+
+    The average of the 4-decimal values is taken in whole 1e-4 units and rounded
+    half-up, so it does not depend on the order of a float sum.
+    """
     m = metrics(spark, sf).filter(F.col("model") == "heartbeat_rule")
     a = EV.roc_auc(_scored(spark, sf), ["attack_type"]).select("attack_type", "roc_auc")
+    cols = _METRICS + ["roc_auc"]
     t = m.join(a, on="attack_type").select(F.upper("attack_type").alias("attack_type"),
-                                           *[F.round(m_, 4).alias(m_) for m_ in _METRICS + ["roc_auc"]])
-    avg = t.agg(*[F.round(F.avg(m_), 4).alias(m_) for m_ in _METRICS + ["roc_auc"]]).withColumn(
-        "attack_type", F.lit("AVERAGE"))
-    return t.unionByName(avg)
+                                           *[rounded(F.round(c, 4)).alias(c) for c in cols])
+    units = [F.sum(F.round(F.col(c) * 10000).cast("bigint")) for c in cols]
+    n = F.count(F.lit(1))
+    avg = t.agg(*[(F.floor((2 * u + n) / (2.0 * n)) / 10000.0).alias(c) for u, c in zip(units, cols)])
+    return t.unionByName(avg.withColumn("attack_type", F.lit("AVERAGE")))
 
 
 _BAL = ("bal AS (SELECT packet_id FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY attack_type ORDER BY "
