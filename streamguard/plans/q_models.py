@@ -1,0 +1,306 @@
+"""Registered queries backed by models (D*, B1-B5, B8-B11, K1-K6, M8-M9).
+
+Most have no SQL form (rows-only check); B5 and K6 are exact neighbourhood
+operators with brute-force DuckDB text.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import schema
+from ..operators import cluster as CL
+from ..operators import models as MD
+from ..operators import neighbors as NB
+from ..operators import stats as ST
+from ..operators import stream
+from ..operators.detect import top_share
+from . import context as ctx
+from . import oracles as O
+from .registry import query
+
+CORE = list(schema.CORE_NUMERIC)
+FULL = schema.mode_features("full")
+DETECT = list(schema.UCAD_FEATURES)
+DBSCAN_EPS = 3.0        # fixed values of the reference's detectors
+DBSCAN_MIN = 50
+KNN_K = 5
+CLUSTERS = 5
+MIN_CONTAMINATION, MAX_CONTAMINATION = 0.01, 0.5
+
+
+def _train_test(spark, sf, attack_type=None):
+    f = ctx.full(spark, sf)
+    if attack_type is not None:
+        f = f.filter(F.col("attack_type") == attack_type)
+    return f.filter(F.col("split") == "train"), f.filter(F.col("split") == "test")
+
+
+def contamination(train) -> float:
+    r = train.agg(F.avg(F.col("attack").cast("double"))).first()[0] or 0.0
+    return min(max(r, MIN_CONTAMINATION), MAX_CONTAMINATION)
+
+
+def per_attack(spark, sf, fn):
+    """Run a detector once per attack type (4 distributed fits) and stack the predictions."""
+    out = None
+    for t in schema.ATTACK_TYPES:
+        tr, te = _train_test(spark, sf, t)
+        r = fn(tr, te).withColumn("attack_type", F.lit(t))
+        out = r if out is None else out.unionByName(r, allowMissingColumns=True)
+    return out
+
+
+@query("pca_importance", "D1")
+def pca_importance(spark, sf):
+    """|PC1 loading| of each prepared full-mode feature (train), with its variance."""
+    tr, _ = _train_test(spark, sf)
+    return MD.pca_importance(tr, FULL)
+
+
+@query("select_by_importance", "M8")
+def select_by_importance(spark, sf):
+    """Features kept by the PCA-importance threshold (0.0), in feature order."""
+    tr, _ = _train_test(spark, sf)
+    imp = MD.pca_importance(tr, FULL)
+    keep = MD.select_by_importance(imp, FULL, 0.0)
+    return imp.filter(F.col("feature").isin(*keep)).select("feature", "pca_importance")
+
+
+@query("assemble", "M9")
+def assemble(spark, sf):
+    """Prepared detection matrix as one vector per packet (test rows, fitted on train)."""
+    tr, te = _train_test(spark, sf)
+    mx = MD.Matrix(tr, DETECT, strict=True, always_keep=["boolean_1"])
+    from pyspark.ml.functions import vector_to_array
+    v = mx.vectors(te)
+    return v.select("packet_id", F.size(vector_to_array("features")).alias("dims"),
+                    F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x * x).alias("sq_norm"))
+
+
+@query("pca_project", "D2")
+def pca_project(spark, sf):
+    """Two principal coordinates per attack type with explained variance (train, nulls -> 0)."""
+    tr, _ = _train_test(spark, sf)
+    return MD.pca_project(tr, CORE)
+
+
+@query("rf_importance", "D3")
+def rf_importance(spark, sf):
+    """Random-forest importances (200 trees, seed 42) of the prepared full-mode features."""
+    tr, _ = _train_test(spark, sf)
+    return MD.rf_importance(tr, FULL)
+
+
+@query("pca_latent", "D4")
+def pca_latent(spark, sf):
+    """16-d latent code and reconstruction error of every test packet (fitted on train)."""
+    tr, te = _train_test(spark, sf)
+    z, zc = MD.pca_latent(tr, te, DETECT)
+    return z.select("packet_id", *zc, "recon_error")
+
+
+@query("isolation_forest", "B1")
+def isolation_forest(spark, sf):
+    """Isolation forest per attack type; contamination = clamped train attack ratio."""
+    return per_attack(spark, sf, lambda tr, te: MD.isolation_forest(tr, te, DETECT, contamination(tr)))
+
+
+@query("one_class_svm", "B2")
+def one_class_svm(spark, sf):
+    """RBF one-class SVM (random Fourier features, nu = contamination) per attack type."""
+    return per_attack(spark, sf, lambda tr, te: MD.one_class_rff(tr, te, DETECT, contamination(tr)))
+
+
+def _minority(kind):
+    def run(tr, te):
+        mx = MD.Matrix(tr, DETECT, strict=True, always_keep=["boolean_1"])
+        pred = MD.fit_predict_clusters(mx.vectors(tr), mx.vectors(te), kind, 2)
+        r = CL.minority_rule(pred.select("packet_id", "cluster").withColumn("_g", F.lit(0)), ["_g"], "cluster")
+        return r.drop("_g")
+    return run
+
+
+@query("kmeans_minority", "B3")
+def kmeans_minority(spark, sf):
+    """K-means (k = 2, seed 42): the smaller predicted cluster is the attack, per attack type."""
+    return per_attack(spark, sf, _minority("kmeans"))
+
+
+@query("gmm_minority", "B4")
+def gmm_minority(spark, sf):
+    """Gaussian mixture (2 components): the smaller predicted component is the attack, per attack type."""
+    return per_attack(spark, sf, _minority("gmm"))
+
+
+def _dbscan_points(spark, sf):
+    tr, te = _train_test(spark, sf)
+    mx = MD.Matrix(tr, CORE, zero_fill=True)
+    z = mx.z(te)
+    return z.select("packet_id", F.array(*[F.col(c).cast("double") for c in mx.kept]).alias("v"))
+
+
+_Z = ", ".join(f"CASE WHEN s_{i} > 0 THEN (coalesce(CAST({c} AS DOUBLE), 0.0) - m_{i}) / s_{i} ELSE 0.0 END"
+               for i, c in enumerate(CORE))
+_M = ", ".join(f"avg(coalesce(CAST({c} AS DOUBLE), 0.0)) AS m_{i}, stddev_pop(coalesce(CAST({c} AS DOUBLE), 0.0)) "
+               f"AS s_{i}" for i, c in enumerate(CORE))
+_DBSCAN_SQL = O.sql(
+    "SELECT packet_id, neighbours, CAST(neighbours >= 50 AS BIGINT) AS is_core, CAST(neighbours < 50 AND NOT EXISTS "
+    "(SELECT 1 FROM pairs q JOIN nb c ON c.packet_id = q.b WHERE q.a = nb.packet_id AND c.neighbours >= 50) AS BIGINT) "
+    "AS is_noise FROM nb",
+    f"mo AS (SELECT {_M} FROM typed WHERE split = 'train')",
+    f"pts AS (SELECT packet_id, [{_Z}] AS v FROM typed, mo WHERE split = 'test')",
+    "pairs AS (SELECT a.packet_id AS a, b.packet_id AS b FROM pts a JOIN pts b "
+    "ON list_distance(a.v, b.v) <= 3.0)",
+    "nb AS (SELECT a AS packet_id, COUNT(*) AS neighbours FROM pairs GROUP BY a)")
+
+
+@query("dbscan_noise", "B5", _DBSCAN_SQL)
+def dbscan_noise(spark, sf):
+    """DBSCAN core / noise flags (eps 3.0, min 50 incl. self) on standardized core features of the test set."""
+    return NB.dbscan_flags(_dbscan_points(spark, sf), "packet_id", "v", DBSCAN_EPS, DBSCAN_MIN)
+
+
+def _knn_split(spark, sf):
+    e = ctx.table(spark, sf, "embeddings").select(
+        F.col("vec_id"), F.col("embedding").cast("array<double>").alias("v"), "label")
+    bucket = F.conv(F.substring(F.md5(F.col("vec_id").cast("string")), 1, 8), 16, 10).cast("bigint") % 5
+    return e.filter(bucket != 0), e.filter(bucket == 0)
+
+
+_KNN_SQL = (
+    "WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label, "
+    "CAST(('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 8)) AS BIGINT) % 5 AS b FROM embeddings), "
+    "d AS (SELECT t.vec_id AS it, r.vec_id AS ir, r.label, list_distance(t.v, r.v) AS d2 "
+    "FROM e t JOIN e r ON t.b = 0 AND r.b <> 0), "
+    "top AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY it ORDER BY d2, ir) AS rk FROM d) WHERE rk <= 5), "
+    "votes AS (SELECT it, label, COUNT(*) AS v FROM top GROUP BY it, label) "
+    "SELECT it AS vec_id, CAST(label AS BIGINT) AS pred FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY it "
+    "ORDER BY v DESC, label) AS rk FROM votes) WHERE rk = 1")
+
+
+@query("knn_assign", "K6", _KNN_SQL)
+def knn_assign(spark, sf):
+    """Each held-out embedding takes the majority label of its 5 nearest training embeddings."""
+    tr, te = _knn_split(spark, sf)
+    return NB.knn_assign(tr, te, "vec_id", "v", "label", k=KNN_K)
+
+
+def _multiclass(spark, sf, predict):
+    tr, te = _train_test(spark, sf)
+    lab = F.create_map(*[x for i, c in enumerate(schema.CLASSES) for x in (F.lit(c), F.lit(i))])
+    label = lab[F.when(F.col("attack") == 0, F.lit("normal")).otherwise(F.lower("attack_type"))]
+    tr, te = tr.withColumn("y", label), te.withColumn("y", label)
+    mx = MD.Matrix(tr, DETECT, strict=True, always_keep=["boolean_1"])
+    fit_pred, test_pred = predict(mx, tr, te)
+    cont = CL.contingency(fit_pred.withColumn("_run", F.lit(0)), ["_run"], "cluster", "y")
+    m = CL.cluster_to_class(cont, ["_run"])
+    out = CL.apply_mapping(test_pred.withColumn("_run", F.lit(0)), m, ["_run"], "cluster", "pred")
+    return out.select("packet_id", "y", "cluster", "pred")
+
+
+def _ml_clusters(kind, max_iter):
+    def predict(mx, tr, te):
+        vtr = mx.vectors(tr).select("packet_id", "y", "features")
+        vte = mx.vectors(te).select("packet_id", "y", "features")
+        est_tr = MD.fit_predict_clusters(vtr, vtr, kind, CLUSTERS, max_iter)
+        est_te = MD.fit_predict_clusters(vtr, vte, kind, CLUSTERS, max_iter)
+        return est_tr, est_te
+    return predict
+
+
+@query("kmeans5", "K1")
+def kmeans5(spark, sf):
+    """K-means with 5 clusters on the prepared matrix; clusters mapped to classes on train."""
+    return _multiclass(spark, sf, _ml_clusters("kmeans", 300))
+
+
+@query("gmm5", "K2")
+def gmm5(spark, sf):
+    """Gaussian mixture with 5 components; components mapped to classes on train."""
+    return _multiclass(spark, sf, _ml_clusters("gmm", 200))
+
+
+@query("hierarchical5", "K3")
+def hierarchical5(spark, sf):
+    """Ward clustering (on <= 500 k-means micro-clusters) into 5 groups, mapped to classes."""
+    def predict(mx, tr, te):
+        vtr = mx.vectors(tr).select("packet_id", "y", "features")
+        vte = mx.vectors(te).select("packet_id", "y", "features")
+        return MD.hierarchical(vtr, vtr, CLUSTERS), MD.hierarchical(vtr, vte, CLUSTERS)
+    return _multiclass(spark, sf, predict)
+
+
+def _space_kmeans(dims):
+    def predict(mx, tr, te):
+        from pyspark.ml.feature import VectorAssembler
+        ztr, zc = MD.pca_latent(tr, tr, DETECT, k=dims)
+        zte, _ = MD.pca_latent(tr, te, DETECT, k=dims)
+        va = VectorAssembler(inputCols=zc, outputCol="features")
+        vtr = va.transform(ztr.select("packet_id", "y", *zc))
+        vte = va.transform(zte.select("packet_id", "y", *zc))
+        return (MD.fit_predict_clusters(vtr, vtr, "kmeans", CLUSTERS, 100),
+                MD.fit_predict_clusters(vtr, vte, "kmeans", CLUSTERS, 100))
+    return predict
+
+
+@query("latent_kmeans", "K4")
+def latent_kmeans(spark, sf):
+    """K-means in the 16-d latent space, mapped to classes."""
+    return _multiclass(spark, sf, _space_kmeans(MD.LATENT_DIM))
+
+
+@query("projected_kmeans", "K5")
+def projected_kmeans(spark, sf):
+    """K-means in a 2-d projection, mapped to classes."""
+    return _multiclass(spark, sf, _space_kmeans(2))
+
+
+@query("pseudo_label_classifier", "B8")
+def pseudo_label_classifier(spark, sf):
+    """Reconstruction-error pseudo labels (top 7.6 %), logistic model on the latent code, relabel, refit."""
+    tr, te = _train_test(spark, sf)
+    return MD.reconstruction_detector(tr, te, DETECT)
+
+
+@query("per_attack_detector", "B9")
+def per_attack_detector(spark, sf):
+    """The pseudo-label detector once per attack type, contamination = that type's train attack ratio."""
+    return per_attack(spark, sf, lambda tr, te: MD.reconstruction_detector(tr, te, DETECT, contamination(tr)))
+
+
+def _gap_sequences(spark, sf, split):
+    f = ctx.full(spark, sf).filter(F.col("split") == split)
+    lo, hi = f.filter(F.col("split") == split).agg(F.min("inter_arrival"), F.max("inter_arrival")).first()
+    scaled = f.withColumn("_g", F.coalesce((F.col("inter_arrival") - F.lit(lo)) / F.lit((hi - lo) or 1.0), F.lit(0.0)))
+    s = stream.segmented(scaled, schema.DEVICE, "base_time", reuse=True)
+
+    def build(d, w):
+        frame = w.rowsBetween(-(MD.SEQ_LEN - 1), 0)
+        return d.withColumn("seq", F.collect_list("_g").over(frame)).withColumn("seq_label", F.max("attack").over(frame))
+    s = stream.windowed(s, schema.DEVICE, [F.col("base_time").asc_nulls_last(), F.col("packet_id")], build,
+                        MD.SEQ_LEN)
+    return s.filter(F.size("seq") == MD.SEQ_LEN).select(F.col("packet_id").alias("end_packet_id"), "seq", "seq_label")
+
+
+@query("sequence_anomaly", "B10")
+def sequence_anomaly(spark, sf):
+    """Sequences of 30 scaled device gaps; PCA reconstruction fitted on normal train sequences; max-error threshold."""
+    tr = _gap_sequences(spark, sf, "train").filter(F.col("seq_label") == 0)
+    te = _gap_sequences(spark, sf, "test")
+    return MD.sequence_detector(tr, te)
+
+
+@query("recon_error_stats", "B11")
+def recon_error_stats(spark, sf):
+    """Mean / std of reconstruction error by split x label and the train threshold at index int(n (1 - c))."""
+    tr, te = _train_test(spark, sf)
+    a, _ = MD.pca_latent(tr, tr, DETECT)
+    b, _ = MD.pca_latent(tr, te, DETECT)
+    both = a.select("packet_id", "attack", "recon_error", F.lit("train").alias("split")).unionByName(
+        b.select("packet_id", "attack", "recon_error", F.lit("test").alias("split")))
+    stats = both.groupBy("split", "attack").agg(F.avg("recon_error").alias("mean_error"),
+                                               F.stddev_samp("recon_error").alias("std_error"))
+    flagged = top_share(a.select("packet_id", "recon_error"), "recon_error", MD.UCAD_CONTAMINATION)
+    thr = flagged.filter(F.col("flagged") == 1).agg(F.min("recon_error").alias("threshold"))
+    return stats.withColumn("threshold", F.lit(thr.first()[0]))
