@@ -253,38 +253,56 @@ def one_class_rff(train: DataFrame, test: DataFrame, features: Sequence[str], nu
     """B2: one-class SVM with an RBF kernel (gamma = 1 / d) approximated by random Fourier features.
 
     The primal objective 1/2 |w|^2 + 1/(nu n) sum max(0, rho - w.phi(x)) - rho is
-    minimised by full-batch subgradient steps; each step is one aggregate over
-    the training rows (sum of phi over margin violators), so only ``dim``
-    numbers per step reach the driver.  Outliers: w.phi(x) < rho.
+    minimised by full-batch subgradient steps.  Each step maps the partitions
+    with numpy (features -> phi -> margin) and returns one partial sum per
+    partition; only ``dim`` + 1 numbers per partition reach the driver.
+    Outliers: w.phi(x) < rho.
     """
     mx = Matrix(train, features, zero_fill=True)
     cols = mx.kept
     d = len(cols)
     rng = np.random.default_rng(SEED)
-    gamma = 1.0 / d
-    W = rng.normal(scale=np.sqrt(2 * gamma), size=(d, dim))
+    W = rng.normal(scale=np.sqrt(2.0 / d), size=(d, dim))  # gamma = 1 / d
     b = rng.uniform(0, 2 * np.pi, size=dim)
     scale = np.sqrt(2.0 / dim)
-
-    def phi(df):
-        proj = linear_map([F.col(c) for c in cols], W)
-        return df.select(id_col, *[(F.cos(p + float(b[j])) * scale).alias(f"f{j}") for j, p in enumerate(proj)])
-
-    ftr = phi(mx.z(train)).checkpoint(eager=True) if train.sparkSession.sparkContext.getCheckpointDir() else phi(mx.z(train))
-    n = ftr.count()
-    w = np.zeros(dim)
-    rho = 0.0
+    spark = train.sparkSession
+    bc = spark.sparkContext.broadcast((W, b, scale))
+    ztr = mx.z(train).select(*cols)
+    if spark.sparkContext.getCheckpointDir():
+        ztr = ztr.checkpoint(eager=True)
+    n = ztr.count()
+    out_schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("g", T.ArrayType(T.DoubleType()))])
+    w, rho = np.zeros(dim), 0.0
     for it in range(iters):
+        w_b, rho_b = w.copy(), rho
+
+        def grad(batches, w_b=w_b, rho_b=rho_b):
+            W_, b_, sc = bc.value
+            k, g = 0, np.zeros(dim)
+            for pdf in batches:
+                phi = np.cos(pdf[cols].to_numpy(dtype=float) @ W_ + b_) * sc
+                viol = phi @ w_b < rho_b
+                k += int(viol.sum())
+                g += phi[viol].sum(axis=0)
+            yield pd.DataFrame({"k": [k], "g": [g.tolist()]})
+        parts = ztr.mapInPandas(grad, out_schema).collect()
+        k = sum(r["k"] for r in parts)
+        g = np.sum([np.array(r["g"]) for r in parts], axis=0)
         lr = 1.0 / (it + 1)
-        s = sum((F.col(f"f{j}") * float(w[j]) for j in range(dim)), F.lit(0.0))
-        v = ftr.filter(s < rho)
-        row = v.agg(F.count(F.lit(1)).alias("k"), *[F.sum(f"f{j}").alias(f"f{j}") for j in range(dim)]).collect()[0]
-        k = row["k"]
-        g = np.array([row[f"f{j}"] or 0.0 for j in range(dim)])
         w = w - lr * (w - g / (nu * n))
         rho = rho - lr * (-1.0 + k / (nu * n))
-    s = sum((F.col(f"f{j}") * float(w[j]) for j in range(dim)), F.lit(0.0))
-    return phi(mx.z(test)).select(id_col, s.alias("ocsvm_score"), (s < F.lit(rho)).cast("int").alias("pred"))
+    wb = spark.sparkContext.broadcast((w, rho))
+    sch = T.StructType([T.StructField(id_col, T.LongType()), T.StructField("ocsvm_score", T.DoubleType()),
+                        T.StructField("pred", T.IntegerType())])
+
+    def score(batches):
+        W_, b_, sc = bc.value
+        w_, rho_ = wb.value
+        for pdf in batches:
+            s_ = (np.cos(pdf[cols].to_numpy(dtype=float) @ W_ + b_) * sc) @ w_
+            yield pd.DataFrame({id_col: pdf[id_col].to_numpy(), "ocsvm_score": s_,
+                                "pred": (s_ < rho_).astype("int32")})
+    return mx.z(test).select(id_col, *cols).mapInPandas(score, sch)
 
 
 def reconstruction_detector(train: DataFrame, test: DataFrame, features: Sequence[str],
