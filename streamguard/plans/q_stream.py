@@ -252,3 +252,17 @@ def full_features(spark, sf):
 def engineer_on_typed(typed_df, target_rows=None):
     """Library entry: typed packets -> full features (no caching)."""
     return FE.engineer_full(typed_df, target_rows=target_rows)
+
+
+_STREAM_COLS = ["inter_arrival", "msg_rate", "ttl_violation", "ttl_margin", "sqNum_delta", "sqNum_jump",
+                "stNum_delta", "stNum_change", "sq_reset_on_st_change", "sq_reset_violation", "heartbeat_within_tol",
+                "sq_inc_violation_when_no_event"]
+
+
+@query("st_stream_rules", "stream", O.sql(
+    "SELECT packet_id, attack_type, split, gocb_ref, " + _sel(_STREAM_COLS) + " FROM features", full=True))
+def st_stream_rules(spark, sf):
+    """Rule features computed online (Structured Streaming, per-device state) over time-ordered slices."""
+    from ..streaming.rules import replay_as_stream
+    return replay_as_stream(spark, ctx.typed(spark, sf)).select(
+        "packet_id", "attack_type", "split", "gocb_ref", *_STREAM_COLS)
