@@ -52,6 +52,14 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the session's checkpoint folder (survives executor loss)."""
+    """Reliable checkpoint into the session's checkpoint folder (survives executor loss).
+
+    The frame is persisted first: a reliable checkpoint writes the data in a
+    second job, which would otherwise recompute the whole lineage.
+    """
+    from pyspark import StorageLevel
     prepare(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out
