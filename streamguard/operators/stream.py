@@ -41,6 +41,26 @@ DEFAULT_TARGET_ROWS = 2_000_000
 _UNB = Window.unboundedPreceding
 _UNF = Window.unboundedFollowing
 
+# Frames read by both the main path and a side table are persisted once, so the
+# big data is shuffled and windowed a single time; ``release`` drops them after
+# the result is written or checkpointed.
+_PERSISTED: list[DataFrame] = []
+
+
+def shared(df: DataFrame) -> DataFrame:
+    """Persist and materialize now, so later plans see the frame's hash partitioning
+    (with ``canChangeCachedPlanOutputPartitioning`` off) and add no exchange."""
+    from pyspark import StorageLevel
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df.count()
+    _PERSISTED.append(df)
+    return df
+
+
+def release() -> None:
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+
 
 def segment_width(df: DataFrame, keys: Sequence[str], time_col: str,
                   target_rows: int | None = DEFAULT_TARGET_ROWS) -> float:
@@ -103,7 +123,7 @@ def windowed(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     m = (df.select(*base_cols)
          .withColumn(LP, F.row_number().over(w_seg))
          .withColumn(CNT, F.count(F.lit(1)).over(w_seg.rowsBetween(_UNB, _UNF))))
-    m = build(m, w_seg)
+    m = shared(build(m, w_seg))
     new_cols = [c for c in m.columns if c not in base_cols and c not in (LP, CNT)]
 
     # Edge rows: first and last `lookback` rows of every segment.  Any row among
@@ -143,9 +163,9 @@ def runs(df: DataFrame, keys: Sequence[str], order: Sequence[Column], flag: Colu
         df = df.withColumn(LP, F.row_number().over(w))
     f = F.coalesce(flag.cast("int"), F.lit(0))
     hit = F.struct(F.col(LP).alias("lp"), value.alias("v"))
-    df = (df.withColumn("_f", f)
-          .withColumn("_cs", F.sum("_f").over(upto))
-          .withColumn("_lc", F.last(F.when(F.col("_f") == 1, hit), ignorenulls=True).over(upto)))
+    df = shared(df.withColumn("_f", f)
+                .withColumn("_cs", F.sum("_f").over(upto))
+                .withColumn("_lc", F.last(F.when(F.col("_f") == 1, hit), ignorenulls=True).over(upto)))
 
     seg = df.groupBy(*pk).agg(
         F.count(F.lit(1)).alias("_n"),

@@ -32,6 +32,7 @@ def _cached(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     if k not in _CACHE:
         prepare(spark)
         _CACHE[k] = cut_lineage(build())
+        stream.release()
     return _CACHE[k]
 
 

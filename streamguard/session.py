@@ -42,6 +42,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings every job relies on; leaves cluster-provided values alone."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # persisted stream frames keep their hash partitioning, so windows over them add no shuffle
+    spark.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "false")
     if not spark.sparkContext.getCheckpointDir():
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
