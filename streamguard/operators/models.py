@@ -84,7 +84,7 @@ def pca_project(df: DataFrame, features: Sequence[str], group: str = "attack_typ
         sub = df.filter(F.col(group) == g)
         filled = sub.select(id_col, group, *[F.coalesce(ST.dbl(c), F.lit(0.0)).alias(c) for c in features])
         mom = ST.moments(filled, features)
-        kept = [c for c in features if mom[c][1]]
+        kept = [c for c in features if mom[c][1] and mom[c][1] > 1e-12 * max(1.0, abs(mom[c][0] or 0.0))]
         z = ST.standardize(filled.select(id_col, group, *kept), mom, kept)
         v = VectorAssembler(inputCols=kept, outputCol="features").transform(z)
         model = PCA(k=min(k, len(kept)), inputCol="features", outputCol="pc").fit(v)

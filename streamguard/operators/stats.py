@@ -91,8 +91,17 @@ def impute(df: DataFrame, medians: Mapping[str, float | None], features: Sequenc
 
 
 def variances(df: DataFrame, features: Sequence[str]) -> dict[str, float | None]:
-    row = df.agg(*[F.var_samp(dbl(c)).alias(c) for c in features]).collect()[0]
-    return {c: row[c] for c in features}
+    """Sample variance per feature; exactly 0.0 when the column is constant.
+
+    Merged partial variances of a constant column come out as ~1e-33 rather
+    than 0, so constancy is decided by min == max, which is exact.
+    """
+    aggs = []
+    for c in features:
+        aggs += [F.var_samp(dbl(c)).alias(f"v__{c}"), (F.max(dbl(c)) > F.min(dbl(c))).alias(f"d__{c}")]
+    row = df.agg(*aggs).collect()[0]
+    return {c: (row[f"v__{c}"] if row[f"d__{c}"] else (0.0 if row[f"v__{c}"] is not None else None))
+            for c in features}
 
 
 def moments(df: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float]]:
@@ -111,6 +120,8 @@ def standardize(df: DataFrame, mom: Mapping[str, tuple[float, float]], features:
     for c in features:
         m, s = mom[c]
         m = 0.0 if m is None else float(m)
+        if s is not None and s <= 1e-12 * max(1.0, abs(m)):
+            s = 0.0  # a constant column: its merged std is float noise, not spread
         z = F.try_divide(dbl(c) - F.lit(m), F.lit(float(s)) if s else F.lit(0.0))
         zs.append(F.coalesce(F.when(~F.isnan(z), z), F.lit(0.0)).alias(c))
     return df.select(*keep, *zs)

@@ -56,7 +56,7 @@ prof AS (SELECT feature, COUNT(*) AS n, COUNT(value) AS nn, median(value) AS med
 keep1 AS (SELECT feature, coalesce(med, 0.0) AS fill FROM prof WHERE nn {cmp} 0.5 * n{always}),
 filled AS (SELECT l.*, coalesce(l.value, k.fill) AS v FROM long l JOIN keep1 k USING (feature)),
 keep2 AS (SELECT feature, avg(v) AS m, stddev_pop(v) AS s, var_samp(v) AS var FROM filled GROUP BY feature
-          HAVING var_samp(v) > 0),
+          HAVING max(v) > min(v)),
 z AS (SELECT f.*, coalesce(CASE WHEN k.s > 0 THEN (f.v - k.m) / k.s END, 0.0) AS z
       FROM filled f JOIN keep2 k USING (feature))"""
 

@@ -50,3 +50,15 @@ def test_exact_quantiles_match_numpy(spark):
         assert np.allclose(q[g], exp, rtol=0, atol=1e-12)
     whole = exact_quantiles(df, "v", [], [0.5]).collect()[0]["q0"]
     assert abs(whole - np.median(vals)) < 1e-12
+
+
+def test_constant_columns_are_exactly_constant(spark):
+    """Merged partial variances of a constant column are float noise; prepare must drop it."""
+    from streamguard.operators import stats as ST
+    df = spark.range(0, 5000, numPartitions=8).select(F.lit(1.0).alias("c"), (F.col("id") % 3).cast("double").alias("x"))
+    v = ST.variances(df, ["c", "x"])
+    assert v["c"] == 0.0 and v["x"] > 0
+    kept, med, mom = ST.prepare(df, ["c", "x"])
+    assert kept == ["x"]
+    z = ST.standardize(df, ST.moments(df, ["c"]), ["c"])
+    assert {r[0] for r in z.select("c").distinct().collect()} == {0.0}
