@@ -341,6 +341,9 @@ def sequence_detector(train_gaps: DataFrame, test_gaps: DataFrame, k: int = 8) -
     tr, te = vec(train_gaps), vec(test_gaps)
     cols = [f"s{i}" for i in range(SEQ_LEN)]
     means = tr.agg(*[F.avg(c).alias(c) for c in cols]).collect()[0]
+    if means[cols[0]] is None:  # no complete normal training sequence: nothing to fit
+        return te.select("end_packet_id", "seq_label", F.lit(None).cast("double").alias("seq_error"),
+                         F.lit(None).cast("int").alias("pred"))
     va = VectorAssembler(inputCols=cols, outputCol="features")
     centered = lambda d: d.select("*", *[(F.col(c) - float(means[c])).alias(f"c_{c}") for c in cols])
     ctr = centered(tr)
