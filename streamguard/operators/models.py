@@ -363,26 +363,45 @@ def sequence_detector(train_gaps: DataFrame, test_gaps: DataFrame, k: int = 8) -
 
 
 def ward_on_centroids(centers: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
-    """Ward agglomeration of weighted centroids down to ``k`` groups (bounded input: <= 500 centroids)."""
-    groups = [[i] for i in range(len(centers))]
-    cen = [centers[i].copy() for i in range(len(centers))]
-    w = [float(weights[i]) for i in range(len(centers))]
-    while len(groups) > k:
-        best, pair = np.inf, None
-        for a in range(len(groups)):
-            for b_ in range(a + 1, len(groups)):
-                cost = w[a] * w[b_] / (w[a] + w[b_]) * float(((cen[a] - cen[b_]) ** 2).sum())
-                if cost < best:
-                    best, pair = cost, (a, b_)
-        a, b_ = pair
-        cen[a] = (cen[a] * w[a] + cen[b_] * w[b_]) / (w[a] + w[b_])
-        w[a] += w[b_]
-        groups[a] += groups[b_]
-        del groups[b_], cen[b_], w[b_]
-    label = np.zeros(len(centers), dtype=int)
-    for g, members in enumerate(groups):
-        label[members] = g
-    return label
+    """Ward agglomeration of weighted centroids down to ``k`` groups (bounded input: <= 500 centroids).
+
+    Merge cost of groups a, b: w_a w_b / (w_a + w_b) |c_a - c_b|^2; the cost
+    matrix is updated for the merged group only (numpy, O(n^2) per merge).
+    """
+    cen = centers.astype(float).copy()
+    w = weights.astype(float).copy()
+    n = len(cen)
+    alive = np.ones(n, dtype=bool)
+    label = np.arange(n)
+
+    def costs(i):
+        d2 = ((cen - cen[i]) ** 2).sum(axis=1)
+        c = w * w[i] / (w + w[i]) * d2
+        c[~alive] = np.inf
+        c[i] = np.inf
+        return c
+
+    cost = np.full((n, n), np.inf)
+    for i in range(n):
+        cost[i] = costs(i)
+    groups = n
+    while groups > k:
+        flat = int(np.argmin(cost))
+        a, b = divmod(flat, n)
+        if a > b:
+            a, b = b, a
+        cen[a] = (cen[a] * w[a] + cen[b] * w[b]) / (w[a] + w[b])
+        w[a] += w[b]
+        alive[b] = False
+        label[label == b] = a
+        cost[b, :] = np.inf
+        cost[:, b] = np.inf
+        row = costs(a)
+        cost[a, :] = row
+        cost[:, a] = row
+        groups -= 1
+    _, out = np.unique(label, return_inverse=True)
+    return out
 
 
 def hierarchical(train_v: DataFrame, test_v: DataFrame, k: int = 5, micro: int = 500) -> DataFrame:
