@@ -47,8 +47,8 @@ FROM p)"""
 def _flag_sql(i: int) -> str:
     tok = (f"regexp_replace(string_split(lower(regexp_replace(boolean_raw, '^\\s+|\\s+$', '', 'g')), ',')[{i + 1}],"
            " '^\\s+|\\s+$', '', 'g')")
-    return (f"CASE WHEN {tok} IN ('true','1','yes','y','on') THEN 1.0 "
-            f"WHEN {tok} IN ('false','0','no','n','off') THEN 0.0 END")
+    return (f"CAST(CASE WHEN {tok} IN ('true','1','yes','y','on') THEN 1.0 "
+            f"WHEN {tok} IN ('false','0','no','n','off') THEN 0.0 END AS DOUBLE)")
 
 
 _HEX = ("CASE WHEN regexp_full_match(replace(lower(regexp_replace(bit_string, '^\\s+|\\s+$', '', 'g')), '0x', ''),"

@@ -88,7 +88,8 @@ def f1_variants(spark, sf):
 
 
 @query("confusion_binary", "E3", O.sql(
-    "SELECT attack_type, model, y, p, n, " + O.r("coalesce(n / nullif(SUM(n) OVER (PARTITION BY attack_type, model, y),"
+    "SELECT attack_type, model, CAST(y AS BIGINT) AS y, CAST(p AS BIGINT) AS p, n, "
+    + O.r("coalesce(n / nullif(SUM(n) OVER (PARTITION BY attack_type, model, y),"
                                                  " 0), 0)", "row_share")
     + " FROM (SELECT attack_type, model, 0 AS y, 0 AS p, tn AS n FROM cnt UNION ALL SELECT attack_type, model, 0, 1, fp "
     "FROM cnt UNION ALL SELECT attack_type, model, 1, 0, fn FROM cnt UNION ALL SELECT attack_type, model, 1, 1, tp FROM cnt)",
@@ -324,13 +325,15 @@ def multi_preds(spark, sf):
     return CL.apply_mapping(test, mapping(spark, sf), ["model"], "cluster", "p")
 
 
-@query("contingency", "K7", O.sql("SELECT model, cluster, label, n FROM cont", *_K, full=True))
+@query("contingency", "K7", O.sql(
+    "SELECT model, CAST(cluster AS BIGINT) AS cluster, CAST(label AS BIGINT) AS label, n FROM cont", *_K, full=True))
 def contingency(spark, sf):
     """(rule-signature cluster, class) counts on the training split."""
     return CL.contingency(signature_frame(spark, sf, "train"), ["model"], "cluster", "y")
 
 
-@query("cluster_to_class", "K8", O.sql("SELECT model, cluster, CAST(mapped AS BIGINT) AS mapped FROM mapping",
+@query("cluster_to_class", "K8", O.sql("SELECT model, CAST(cluster AS BIGINT) AS cluster, CAST(mapped AS BIGINT) "
+                                       "AS mapped FROM mapping",
                                        *_K, full=True))
 def cluster_to_class(spark, sf):
     """Optimal one-to-one cluster -> class assignment (leftover clusters -> majority class)."""

@@ -92,9 +92,9 @@ def parse_boolean(spark, sf):
 
 
 @query("map_boolean_single", "C2", O.sql(
-    "SELECT packet_id, CASE WHEN lower(regexp_replace(boolean_raw, '^\\s+|\\s+$', '', 'g')) IN "
+    "SELECT packet_id, CAST(CASE WHEN lower(regexp_replace(boolean_raw, '^\\s+|\\s+$', '', 'g')) IN "
     "('true','1','yes','y','on') THEN 1.0 WHEN lower(regexp_replace(boolean_raw, '^\\s+|\\s+$', '', 'g')) IN "
-    "('false','0','no','n','off') THEN 0.0 END AS boolean_value FROM typed"))
+    "('false','0','no','n','off') THEN 0.0 END AS DOUBLE) AS boolean_value FROM typed"))
 def map_boolean_single(spark, sf):
     """Whole field mapped as one token."""
     return ctx.typed(spark, sf).select("packet_id", P.bool_token(F.col("boolean_raw")).alias("boolean_value"))
