@@ -31,7 +31,8 @@ def rounded(c, digits: int = DIGITS):
     Sums taken in a different order differ in the last bits; rounding with the
     same float operations on both engines makes equal results compare equal.
     """
-    return sig_round(F.round(c, digits))
+    # result tables never carry NaN: it becomes SQL NULL, as everywhere in the library
+    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(sig_round(F.round(c, digits)))
 
 
 SIG = 10
