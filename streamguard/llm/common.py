@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 SHARD_BYTES = 8 << 20
 #: Text bytes that a task holds at once; one longer text makes a chunk of its own.
 CHUNK_BYTES = 4 << 20
+BATCH_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,6 +29,12 @@ def shared_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches to Python end at BATCH_BYTES, not only at a number of rows: texts may be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}/{name}"
 
@@ -89,10 +96,10 @@ def column(table: pa.Table, name: str) -> pa.Array:
     return pa.concat_arrays(got.chunks) if isinstance(got, pa.ChunkedArray) else got
 
 
-def map_chunks(df: DataFrame, fn: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str, text: str = "text") -> DataFrame:
+def map_chunks(df: DataFrame, fn: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str, text: str = "text", limit: int = CHUNK_BYTES) -> DataFrame:
     """``mapInArrow`` over chunks of bounded text size."""
     def run(batches):
-        for table in by_chunk(batches, text):
+        for table in by_chunk(batches, text, limit):
             yield from fn(table)
     return df.mapInArrow(run, schema)
 

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .common import bounded_batches
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
 def query(name: str, oracle: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark, sf_dir):
+            bounded_batches(spark)
+            return fn(spark, sf_dir)
+        run.__name__, run.__doc__ = name, fn.__doc__
+        QUERIES[name] = run
         if oracle:
             ORACLES[name] = oracle
         return fn
@@ -64,3 +70,43 @@ def op4_substring(spark, sf_dir):
     """Repeated 13-word windows taken out of all documents."""
     from .substring import digests
     return digests(table(spark, sf_dir, "documents"), width=13)
+
+
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query("op3_mixing", oracle="""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY 1),
+w AS (SELECT source, source_size, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight FROM s),
+r AS (SELECT *, 3 * source_size AS cap, CAST(3 * source_size AS DOUBLE) / weight AS ratio FROM w),
+b AS (SELECT *, coalesce(sum(cap) OVER p, 0) AS caps, coalesce(sum(weight) OVER p, 0) AS weights, sum(source_size) OVER () AS t, sum(weight) OVER () AS ws
+  FROM r WINDOW p AS (ORDER BY ratio, source NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT arg_min(CAST(t - caps AS DOUBLE) / CAST(ws - weights AS DOUBLE), ratio) AS level FROM b WHERE CAST(t - caps AS DOUBLE) / CAST(ws - weights AS DOUBLE) <= ratio),
+g AS (SELECT source, source_size, least(coalesce(level, 0) * weight, CAST(cap AS DOUBLE)) AS target,
+  CAST(('0x' || substr(md5('mix:' || coalesce(source, chr(0) || 'null')), 1, 12)) AS BIGINT) / 281474976710656.0 AS u FROM b, l),
+x AS (SELECT doc_id, d.source, size, source_size, target, u, row_number() OVER (PARTITION BY d.source ORDER BY size, doc_id NULLS FIRST) AS k,
+  coalesce(target / nullif(source_size, 0), 0) AS e FROM d JOIN g ON g.source IS NOT DISTINCT FROM d.source),
+c AS (SELECT *, CAST(least(floor(e * k + u) - floor(e * (k - 1) + u), 3) AS BIGINT) AS copies FROM x)
+SELECT doc_id, source, size, source_size, target, copies, copies * size AS taken FROM c
+""")
+def op3_mixing(spark, sf_dir):
+    """Systematic sampling of all documents towards their sources' targets."""
+    from .mixing import report
+    return report(table(spark, sf_dir, "documents"))
+
+
+@query("op5_packing")
+def op5_packing(spark, sf_dir):
+    """All documents as token pieces packed into sequences of 1024."""
+    from .packing import pack, pieces
+    return pack(pieces(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json")))
+
+
+@query("op9_tokens")
+def op9_tokens(spark, sf_dir):
+    """All documents' token ids written to files and reported from them."""
+    from .tokenfile import round_trip
+    return round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
