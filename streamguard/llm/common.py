@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 #: Bytes of input text that one shard of packed hashes stands for.
 SHARD_BYTES = 8 << 20
 #: Text bytes that a task holds at once; one longer text makes a chunk of its own.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 BATCH_BYTES = 4 << 20
 
 

@@ -89,14 +89,15 @@ def _hashes(points: np.ndarray, at: np.ndarray, seeds: np.ndarray, order: int =
 class _Sorted:
     """Sorted hashes with an index on their leading bits: a lookup is one jump and a few steps."""
 
-    def __init__(self, keys: np.ndarray):
-        self.keys = np.append(keys, U(0xFFFFFFFFFFFFFFFF))
-        self.bits = max(1, min(24, int(len(keys)).bit_length()))
+    def __init__(self, keys: np.ndarray, ended: bool = False):
+        """``ended``: the keys already close with the largest hash as a stop."""
+        self.keys = keys if ended else np.append(keys, U(0xFFFFFFFFFFFFFFFF))
+        self.bits = max(1, min(22, int(len(keys)).bit_length()))
         edge = np.arange(1 << self.bits, dtype=U) << U(64 - self.bits)
-        self.jump = np.searchsorted(keys, edge).astype(np.int64)
+        self.jump = np.searchsorted(self.keys, edge).astype(np.int32 if len(keys) < 1 << 31 else np.int64)
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = self.jump[(h >> U(64 - self.bits)).astype(np.int64)]
+        at = self.jump[(h >> U(64 - self.bits)).astype(np.int64)].astype(np.int64)
         live = np.flatnonzero(self.keys[at] < h)
         while len(live):
             at[live] += 1
@@ -110,14 +111,31 @@ def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s[first], np.diff(np.append(first, len(s)))
 
 
+#: Distinct n-grams that a counting task holds before it sends them on.
+HELD = 1_000_000
+
+
+def _merge(parts: list[tuple]) -> tuple:
+    """(keys, counts, code points, languages) of several chunks as one, each key once."""
+    keys, n, grams, langs = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(n[order], first), grams[order[first]], langs[order[first]]
+
+
 def _count_partition(batches, everything: bool = False):
     """Distinct n-grams of a task's training documents (or of all) with their counts, merged over its chunks."""
-    held: dict[str, dict[str, int]] = {}
-    size = 0
+    parts: list[tuple] = []
+    names: dict[str, int] = {}
 
     def flush():
-        for lang, grams in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams)), pa.array(list(grams)), pa.array(list(grams.values()), pa.int64())], names=["lang", "gram", "n"])
+        _, n, grams, langs = parts[0]
+        known = list(names)
+        for lo in range(0, len(n), 50_000):
+            whole = grams[lo:lo + 50_000].astype("<u4").tobytes().decode("utf-32-le")
+            rows = [whole[i:i + ORDER] for i in range(0, len(whole), ORDER)]
+            yield pa.RecordBatch.from_arrays([pa.array([known[x] for x in langs[lo:lo + 50_000].tolist()]), pa.array(rows), pa.array(n[lo:lo + 50_000])], names=["lang", "gram", "n"])
 
     for table in common.by_chunk(batches, "text"):
         texts = Texts(common.column(table, "text"))
@@ -134,18 +152,17 @@ def _count_partition(batches, everything: bool = False):
         keys, n = _distinct(h)
         where = np.empty(len(keys), np.int64)
         where[_Sorted(keys).find(h)[0]] = np.arange(len(h))
-        text = text[where]
         grams = np.stack([points[at[where] - (ORDER - 1) + j] for j in range(ORDER)], 1)
-        whole = grams.astype("<u4").tobytes().decode("utf-32-le")
-        for i, (t, c) in enumerate(zip(text.tolist(), n.tolist(), strict=True)):
-            g = whole[i * ORDER:(i + 1) * ORDER]
-            mine = held.setdefault(langs[t], {})
-            mine[g] = mine.get(g, 0) + c
-        size = sum(map(len, held.values()))
-        if size > 1_500_000:  # bounded memory: Spark adds the parts
-            yield from flush()
-            held, size = {}, 0
-    yield from flush()
+        number = np.array([names.setdefault(x, len(names)) for x in langs], np.int32)
+        parts.append((keys, n.astype(np.int64), grams, number[text[where]]))
+        if sum(len(p[0]) for p in parts) > HELD:
+            parts = [_merge(parts)]
+            if len(parts[0][0]) > HELD // 2:  # bounded memory: Spark adds the parts
+                yield from flush()
+                parts = []
+    if parts:
+        parts = [_merge(parts)]
+        yield from flush()
 
 
 def count_ngrams(docs: DataFrame, everything: bool = False) -> DataFrame:
@@ -283,9 +300,8 @@ class _Model:
     """Broadcast form: one sorted array over all shards."""
 
     def __init__(self, hashes: bytes, logp: bytes, backoff: bytes):
-        self.index = _Sorted(np.frombuffer(hashes, U))
-        self.logp = np.append(np.frombuffer(logp, np.float32), np.float32(0)).astype(np.float64)
-        self.backoff = np.append(np.frombuffer(backoff, np.float32), np.float32(0)).astype(np.float64)
+        self.index = _Sorted(np.frombuffer(hashes, U), ended=True)
+        self.logp, self.backoff = np.frombuffer(logp, np.float32), np.frombuffer(backoff, np.float32)
 
     def score(self, points: np.ndarray, at: np.ndarray, seeds: np.ndarray) -> np.ndarray:
         """Log probability of every character; unseen n-grams back off to shorter ones."""
@@ -309,7 +325,8 @@ _loaded: dict[int, _Model] = {}
 def _score_by_broadcast(docs: DataFrame, arrays: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     shards = sorted(arrays.collect(), key=lambda r: r.shard)
-    shared = spark.sparkContext.broadcast(tuple(b"".join(bytes(r[c]) for r in shards) for c in ("hashes", "logp", "backoff")))
+    stops = {"hashes": b"\xff" * 8, "logp": bytes(4), "backoff": bytes(4)}
+    shared = spark.sparkContext.broadcast(tuple(b"".join([*(bytes(r[c]) for r in shards), stop]) for c, stop in stops.items()))
 
     def run(batches):
         for table in common.by_chunk(batches, "text"):

@@ -30,6 +30,8 @@ from . import common
 from .wordhash import Texts, U, joined
 
 WIDTH = 13
+#: Text bytes of a chunk: larger ones send shared passages and document names less often.
+CHUNK_BYTES = 2 << 20
 
 
 def _planes(sorted_values: np.ndarray) -> bytes:
@@ -159,7 +161,7 @@ def _intervals(ids, tags, lo, hi) -> pa.RecordBatch:
 def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, tag, spans): the word intervals that each text loses, from several shards in several rows."""
     shards = common.shards_for(docs)
-    blocks = common.map_chunks(common.plain_ids(docs, "doc_id", "text"), lambda t: _emit(t, width, shards), _BLOCK)
+    blocks = common.map_chunks(common.plain_ids(docs, "doc_id", "text"), lambda t: _emit(t, width, shards), _BLOCK, limit=CHUNK_BYTES)
     return blocks.repartitionById(shards, F.col("shard")).mapInArrow(lambda b: _judge(b, width), "doc_id long, tag long, spans array<long>")
 
 
