@@ -110,3 +110,86 @@ def op9_tokens(spark, sf_dir):
     """All documents' token ids written to files and reported from them."""
     from .tokenfile import round_trip
     return round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+@query("op7_warc", oracle="""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, upper(sha1(coalesce(html, ''))) AS hex FROM pages),
+f AS (SELECT hex, min(page_id) AS first FROM p GROUP BY 1),
+b AS (SELECT hex, array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(substr(bits, 5 * i + 1, 5) AS BIT)::INT, 1) FOR i IN range(32)], '') AS b32
+  FROM (SELECT hex, array_to_string([substr('0000000100100011010001010110011110001001101010111100110111101111', 4 * (instr('0123456789ABCDEF', substr(hex, j, 1)) - 1) + 1, 4) FOR j IN range(1, 41)], '') AS bits FROM f))
+SELECT page_id, payload_bytes, b32 AS payload_digest, CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > first THEN first END AS refers_to
+FROM p JOIN f USING (hex) JOIN b USING (hex)
+""")
+def op7_warc(spark, sf_dir):
+    """All pages written as WARC archives and reported from them."""
+    from .warc import round_trip
+    return round_trip(table(spark, sf_dir, "pages")).drop("url")
+
+
+@query("op8_maintext")
+def op8_maintext(spark, sf_dir):
+    """Main text of all pages."""
+    from .maintext import extract
+    return extract(table(spark, sf_dir, "pages"))
+
+
+@query("op1_gridjoin", oracle="""
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY 1),
+reach AS (WITH RECURSIVE r(x, y) AS (SELECT a, b FROM l UNION SELECT r.x, l.b FROM r JOIN l ON l.a = r.y) SELECT x, min(y) AS m FROM r GROUP BY 1)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id, vec_id = least(vec_id, coalesce(m, vec_id)) AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN reach ON reach.x = vec_id
+""")
+def op1_gridjoin(spark, sf_dir):
+    """Vectors within cosine 0.9 of each other, and their components, over all embeddings."""
+    from .gridjoin import near_vectors
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op6_licences", oracle="""
+WITH f AS (SELECT doc_id, coalesce(source, '') || '/' || coalesce(lang, '') || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, coalesce(text, '') AS text FROM documents),
+t AS (SELECT licence, unnest(regexp_extract_all(lower(body), '[a-z0-9]+')) AS term FROM (VALUES
+  ('Apache-2.0', 'Licensed under the Apache License, Version 2.0.'),
+  ('BSD-3-Clause', 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met'),
+  ('CC-BY-4.0', 'This work is licensed under a Creative Commons Attribution 4.0 International License.'),
+  ('CC-BY-NC-4.0', 'Licensed under CC BY-NC 4.0.'),
+  ('GPL-3.0', 'This work is licensed under the GNU General Public License, version 3.'),
+  ('MIT', 'Released under the MIT License.'),
+  ('MPL-2.0', 'This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.'),
+  ('Unlicense', 'This is free and unencumbered software released into the public domain.')) x(licence, body)),
+tf AS (SELECT licence, term, count(*) AS tf FROM t GROUP BY 1, 2),
+n AS (SELECT count(*) AS n FROM f),
+words AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+') AS ws FROM f),
+seen AS (SELECT term, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(ws) AS term FROM words) WHERE term IN (SELECT term FROM tf) GROUP BY 1),
+idf AS (SELECT term, ln((1.0 + n) / (1.0 + coalesce(df, 0))) AS idf FROM (SELECT DISTINCT term FROM tf) LEFT JOIN seen USING (term), n),
+w AS (SELECT licence, term, tf * idf AS w FROM tf JOIN idf USING (term)),
+goal AS (SELECT licence, term, w / norm AS g FROM w JOIN (SELECT licence, sqrt(sum(w * w)) AS norm FROM w GROUP BY 1) USING (licence)),
+split AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS body, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM f),
+lines AS (SELECT doc_id, line, regexp_extract_all(low, '[a-z0-9]+') AS ws FROM (SELECT *, translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM split)
+  WHERE regexp_matches(low, 'licen[cs]|redistribution|copyright|spdx|public domain')),
+c AS (SELECT doc_id, line, term, count(*) AS tf FROM (SELECT doc_id, line, unnest(ws) AS term FROM lines) GROUP BY 1, 2, 3),
+x AS (SELECT doc_id, line, term, tf * coalesce(idf, ln((1.0 + n) / 2.0)) AS w FROM c LEFT JOIN idf USING (term), n),
+norms AS (SELECT doc_id, line, sqrt(sum(w * w)) AS norm FROM x GROUP BY 1, 2),
+dots AS (SELECT doc_id, line, licence, sum(w * g) AS dot FROM x JOIN goal USING (term) GROUP BY 1, 2, 3),
+close AS (SELECT doc_id, line, licence, round(dot / nullif(norm, 0), 6) AS cosine FROM dots JOIN norms USING (doc_id, line)),
+hit AS (SELECT *, row_number() OVER (PARTITION BY doc_id, line ORDER BY cosine DESC, licence) AS k FROM close WHERE cosine >= 0.7),
+own AS (SELECT doc_id, arg_min(licence, (-cosine, licence)) AS own, max(cosine) AS cosine, sum(len(ws)) AS matched FROM hit JOIN lines USING (doc_id, line) WHERE k = 1 GROUP BY 1),
+j AS (SELECT f.doc_id, path, regexp_replace(path, '/[^/]*$', '') AS dir, len(ws) AS n_terms, own, cosine, matched FROM f JOIN words USING (doc_id) LEFT JOIN own USING (doc_id)),
+speaks AS (SELECT dir, min(own) AS theirs FROM j WHERE own IS NOT NULL AND 2 * matched >= n_terms GROUP BY 1),
+up AS (SELECT DISTINCT dir, dir AS above, 2 AS depth FROM j UNION SELECT DISTINCT dir, string_split(dir, '/')[1], 1 FROM j),
+near AS (SELECT up.dir, arg_max(theirs, depth) AS theirs, arg_max(above, depth) AS above FROM up JOIN speaks ON speaks.dir = above GROUP BY 1)
+SELECT doc_id, path, coalesce(own, theirs) AS licence, cosine, CASE WHEN own IS NOT NULL THEN 'header' WHEN theirs IS NOT NULL THEN 'directory' ELSE 'none' END AS origin,
+  CASE WHEN own IS NULL THEN above END AS inherited_from
+FROM j LEFT JOIN near USING (dir)
+""")
+def op6_licences(spark, sf_dir):
+    """Licence of every document, its path being source/lang/doc_id.txt."""
+    from pyspark.sql import functions as F
+
+    from .licences import scan
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return scan(docs.select(F.col("doc_id").alias("key"), path.alias("path"), "text")).withColumnRenamed("key", "doc_id")
