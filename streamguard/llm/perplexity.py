@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .wordhash import Texts, U, covered, mix, repeated
+from .wordhash import Sorted, Texts, U, covered, mix, repeated
 
 ORDER = 5
 START = "\x02"
@@ -86,25 +86,6 @@ def _hashes(points: np.ndarray, at: np.ndarray, seeds: np.ndarray, order: int =
     return mix(h[at] ^ seeds ^ U(order))
 
 
-class _Sorted:
-    """Sorted hashes with an index on their leading bits: a lookup is one jump and a few steps."""
-
-    def __init__(self, keys: np.ndarray, ended: bool = False):
-        """``ended``: the keys already close with the largest hash as a stop."""
-        self.keys = keys if ended else np.append(keys, U(0xFFFFFFFFFFFFFFFF))
-        self.bits = max(1, min(22, int(len(keys)).bit_length()))
-        edge = np.arange(1 << self.bits, dtype=U) << U(64 - self.bits)
-        self.jump = np.searchsorted(self.keys, edge).astype(np.int32 if len(keys) < 1 << 31 else np.int64)
-
-    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = self.jump[(h >> U(64 - self.bits)).astype(np.int64)].astype(np.int64)
-        live = np.flatnonzero(self.keys[at] < h)
-        while len(live):
-            at[live] += 1
-            live = live[self.keys[at[live]] < h[live]]
-        return at, self.keys[at] == h
-
-
 def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     s = np.sort(h)
     first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, np.int64)
@@ -151,7 +132,7 @@ def _count_partition(batches, everything: bool = False):
         h = _hashes(points, at, _lang_seeds(langs)[text])
         keys, n = _distinct(h)
         where = np.empty(len(keys), np.int64)
-        where[_Sorted(keys).find(h)[0]] = np.arange(len(h))
+        where[Sorted(keys).find(h)[0]] = np.arange(len(h))
         grams = np.stack([points[at[where] - (ORDER - 1) + j] for j in range(ORDER)], 1)
         number = np.array([names.setdefault(x, len(names)) for x in langs], np.int32)
         parts.append((keys, n.astype(np.int64), grams, number[text[where]]))
@@ -300,7 +281,7 @@ class _Model:
     """Broadcast form: one sorted array over all shards."""
 
     def __init__(self, hashes: bytes, logp: bytes, backoff: bytes):
-        self.index = _Sorted(np.frombuffer(hashes, U), ended=True)
+        self.index = Sorted(np.frombuffer(hashes, U), ended=True)
         self.logp, self.backoff = np.frombuffer(logp, np.float32), np.frombuffer(backoff, np.float32)
 
     def score(self, points: np.ndarray, at: np.ndarray, seeds: np.ndarray) -> np.ndarray:

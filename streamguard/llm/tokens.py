@@ -13,11 +13,13 @@ import os
 
 import numpy as np
 
-from .wordhash import Texts
+from .wordhash import Sorted, Texts, U
 
 END_ID = 2
-#: Distinct pieces that a worker remembers between chunks.
-REMEMBER = 300_000
+#: Distinct pieces that a worker remembers between chunks (about 20 bytes each), and new ones before they are sorted in.
+REMEMBER, RECENT = 3_000_000, 100_000
+#: Stands between words that are encoded in one call; words that hold it are encoded alone.
+_MARK = "\x01"
 
 
 def _cuts(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -42,7 +44,42 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # a special token's string in a text is ordinary text
         self.cuts = cuts
-        self.known: dict[int, bytes] = {}
+        mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if cuts == "word" and len(mark) == 1 else None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.sizes, self.flat = np.zeros(0, U), np.zeros(0, np.int32), np.zeros(0, np.uint32)
+        self.index, self.begin = Sorted(self.keys), np.zeros(0, np.int64)
+        self.recent: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def _settle(self) -> None:
+        """Sort recent pieces in among the known ones."""
+        parts = [(self.keys, self.sizes, self.flat), *self.recent]
+        keys, sizes, flat = (np.concatenate(x) for x in zip(*parts, strict=True))
+        if len(keys) > REMEMBER:
+            return self._forget()
+        order = np.argsort(keys, kind="stable")
+        begin = np.cumsum(sizes, dtype=np.int64) - sizes
+        self.keys, self.sizes, self.flat = keys[order], sizes[order], flat[_spans(begin[order], sizes[order])]
+        self.index, self.begin, self.recent = Sorted(self.keys), np.cumsum(self.sizes, dtype=np.int64) - self.sizes, []
+
+    def _fresh(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids of pieces that are not known."""
+        if self.mark is None:
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+            return np.array([len(x) for x in got], np.int32), np.array([i for x in got for i in x], np.uint32)
+        odd = [i for i, p in enumerate(pieces) if _MARK in p]
+        text = f" {_MARK} ".join(p if _MARK not in p else "" for p in pieces)
+        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        edge = np.flatnonzero(ids == self.mark)
+        sizes = (np.diff(np.concatenate([[-1], edge, [len(ids)]])) - 1).astype(np.int32)
+        ids = ids[ids != self.mark]
+        for i in odd:
+            alone = np.array(self.tokenizer.encode(pieces[i], add_special_tokens=False).ids, np.uint32)
+            at = int(sizes[:i].sum())
+            ids, sizes[i] = np.concatenate([ids[:at], alone, ids[at:]]), len(alone)
+        return sizes, ids
 
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds): all texts' ids one after another (uint32), without an end id."""
@@ -55,28 +92,43 @@ class Encoder:
         which = np.empty(len(h), np.int64)
         which[order] = np.cumsum(new) - 1
         first = order[new]
-        keys = h[first].tolist()
-        missing = [i for i, k in enumerate(keys) if k not in self.known]
-        if len(self.known) + len(missing) > REMEMBER:
-            self.known = {}
-            missing = list(range(len(keys)))
-        body = texts.data.tobytes()
-        for lo in range(0, len(missing), 4096):
-            part = missing[lo:lo + 4096]
-            pieces = [body[a:b].decode() for a, b in zip(start[first[part]].tolist(), end[first[part]].tolist(), strict=True)]
-            for i, e in zip(part, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
-                self.known[keys[i]] = np.array(e.ids, np.uint32).tobytes()
-        each = [self.known[k] for k in keys]
-        sizes = np.array([len(x) >> 2 for x in each])
-        flat = np.frombuffer(b"".join(each), np.uint32)
-        begin = np.cumsum(sizes) - sizes
+        keys = h[first]
+        if sum(len(r[0]) for r in self.recent) > RECENT:
+            self._settle()
+        sizes, begin, flats, base = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64), [self.flat], len(self.flat)
+        at, found = self.index.find(keys)
+        sizes[found], begin[found] = self.sizes[at[found]], self.begin[at[found]]
+        todo = np.flatnonzero(~found)
+        for k, s, f in self.recent:
+            at = np.minimum(np.searchsorted(k, keys[todo]), len(k) - 1)
+            hit = k[at] == keys[todo]
+            sizes[todo[hit]], begin[todo[hit]] = s[at[hit]], base + (np.cumsum(s, dtype=np.int64) - s)[at[hit]]
+            flats.append(f)
+            base += len(f)
+            todo = todo[~hit]
+        if len(todo):
+            body = texts.data.tobytes()
+            parts = []
+            for lo in range(0, len(todo), 1024):
+                pick = first[todo[lo:lo + 1024]]
+                parts.append(self._fresh([body[a:b].decode() for a, b in zip(start[pick].tolist(), end[pick].tolist(), strict=True)]))
+            s, f = (np.concatenate(x) for x in zip(*parts, strict=True))
+            sizes[todo], begin[todo] = s, base + np.cumsum(s, dtype=np.int64) - s
+            flats.append(f)
+            self.recent.append((keys[todo], s, f))  # keys are sorted within a chunk
+        flat = np.concatenate(flats) if len(flats) > 1 else flats[0]
         n = sizes[which]
-        stop = np.cumsum(n)
-        ids = flat[np.repeat(begin[which] - (stop - n), n) + np.arange(stop[-1])]
-        edges = np.concatenate([[0], stop])
+        ids = flat[_spans(begin[which], n)]
+        edges = np.concatenate([[0], np.cumsum(n)])
         return ids, edges[np.searchsorted(start, texts.bounds)]
 
 
+def _spans(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... for n[0] places, then those of begin[1], and so on."""
+    n = n.astype(np.int64)
+    return np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
 _encoders: dict[tuple[str, str], Encoder] = {}
 
 
