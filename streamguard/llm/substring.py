@@ -7,8 +7,8 @@ lies.  Within a chunk only the smallest document that holds a hash sends it;
 the chunk's other documents already know that they lose it, so a passage that
 a third of all documents share costs one entry a chunk, not one a document.
 Each shard finds every hash's smallest document and returns the windows that
-lose, merged into intervals; intervals are gathered per document, merged into
-maximal ones, and joined with the texts of the documents that lose anything
+lose, merged into intervals and packed by document; these are gathered,
+merged into maximal intervals, and joined with the texts of the documents that lose anything
 (a bounded Bloom filter keeps the others out of that shuffle).
 
 Defined results: null texts have no words; texts shorter than a window lose
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .wordhash import Texts, U, joined
+from .wordhash import Texts, U, joined, mix
 
 WIDTH = 13
 #: Text bytes of a chunk: larger ones send shared passages and document names less often.
@@ -57,6 +57,7 @@ def _runs(at: np.ndarray, group: np.ndarray, width: int) -> tuple[np.ndarray, np
 
 _BLOCK = "shard int, hashes binary, places binary, docs binary"
 #: What a block says of each of its documents: first word in the chunk, id, and a tag of the text.
+_SPAN = np.dtype([("id", "<i8"), ("tag", "<u4"), ("lo", "<u4"), ("hi", "<u4")])
 _DOC = np.dtype([("start", "<u4"), ("tag", "<u4"), ("id", "<i8")])
 
 
@@ -109,15 +110,18 @@ def _tags(texts: Texts) -> np.ndarray:
     return (texts.byte_hashes(texts.bounds[:-1], texts.bounds[1:]) >> U(32)).astype(np.uint32)
 
 
-def _judge(batches, width: int):
-    """One shard: each hash's smallest document keeps it; the others' windows become intervals."""
+def _judge(batches, width: int, shards: int):
+    """One shard: each hash's smallest document keeps it; the others' windows become intervals.
+
+    Intervals leave packed by a hash of their document, one row per target.
+    """
     import zstandard
     unpack = zstandard.ZstdDecompressor().decompress
     all_h, all_doc, all_at = [], [], []
     for batch in batches:
         for row in batch.to_pylist():
             if row["hashes"] is None:
-                yield _intervals(*np.frombuffer(unpack(row["places"]), "<i8").reshape(-1, 4).T)
+                yield from _dealt(*np.frombuffer(unpack(row["places"]), "<i8").reshape(-1, 4).T, shards)
                 continue
             places = np.ascontiguousarray(np.frombuffer(unpack(row["places"]), np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
             docs = np.frombuffer(unpack(row["docs"]), _DOC)
@@ -145,7 +149,44 @@ def _judge(batches, width: int):
             ids, tags, at = ids[order], tags[order], at[order]
             new = np.concatenate([[True], (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])])
             text, lo, hi = _runs(at, np.cumsum(new) - 1, width)
-            yield _intervals(ids[new][text], tags[new][text], lo, hi)
+            yield from _dealt(ids[new][text], tags[new][text], lo, hi, shards)
+
+
+def _dealt(ids, tags, lo, hi, shards: int):
+    import zstandard
+    pack = zstandard.ZstdCompressor(level=1).compress
+    rows = np.zeros(len(ids), _SPAN)
+    rows["id"], rows["tag"], rows["lo"], rows["hi"] = ids, tags, lo, hi
+    target = (mix(rows["id"].view(U).copy()) % U(shards)).astype(np.int32)
+    order = np.argsort(target, kind="stable")
+    rows, target = rows[order], target[order]
+    edge = np.append(np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1]])), len(rows))
+    yield pa.RecordBatch.from_arrays([pa.array(target[edge[:-1]]), pa.array([pack(rows[x:y].tobytes()) for x, y in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)], pa.binary())], names=["target", "packed"])
+
+
+def _gather(batches):
+    """All intervals of a target's texts, merged: one row per text."""
+    import zstandard
+    unpack = zstandard.ZstdDecompressor().decompress
+    parts = [np.frombuffer(unpack(x), _SPAN) for b in batches for x in b.column("packed").to_pylist()]
+    if not parts:
+        return
+    rows = np.unique(np.concatenate(parts))  # sorted by id, tag, start, end
+    del parts
+    text = np.cumsum(np.concatenate([[False], (rows["id"][1:] != rows["id"][:-1]) | (rows["tag"][1:] != rows["tag"][:-1])]))
+    # the furthest end so far within the text, by lifting every text above the one before
+    lift = text.astype(np.int64) << 32
+    reach = np.maximum.accumulate(rows["hi"] + lift)
+    new = np.concatenate([[True], rows["lo"][1:] + lift[1:] > reach[:-1]])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(rows)) - 1
+    merged = rows[first]
+    merged["hi"] = reach[last] - lift[last]
+    owner = text[first]
+    edge = np.append(np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])), len(merged))
+    for k in range(0, len(edge) - 1, 10_000):
+        part = edge[k:k + 10_001]
+        yield _intervals(*(merged[c][part[0]:part[-1]] for c in ("id", "tag", "lo", "hi")))
 
 
 def _intervals(ids, tags, lo, hi) -> pa.RecordBatch:
@@ -159,10 +200,11 @@ def _intervals(ids, tags, lo, hi) -> pa.RecordBatch:
 
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc_id, tag, spans): the word intervals that each text loses, from several shards in several rows."""
+    """(doc_id, tag, spans): the maximal word intervals that each text loses, as start, end, start, end ..."""
     shards = common.shards_for(docs)
     blocks = common.map_chunks(common.plain_ids(docs, "doc_id", "text"), lambda t: _emit(t, width, shards), _BLOCK, limit=CHUNK_BYTES)
-    return blocks.repartitionById(shards, F.col("shard")).mapInArrow(lambda b: _judge(b, width), "doc_id long, tag long, spans array<long>")
+    dealt = blocks.repartitionById(shards, F.col("shard")).mapInArrow(lambda b: _judge(b, width, shards), "target int, packed binary")
+    return dealt.repartitionById(shards, F.col("target")).mapInArrow(_gather, "doc_id long, tag long, spans array<long>")
 
 
 def _tagged(batches):
@@ -194,8 +236,7 @@ def _strip(batches):
 def deduplicate(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, tag, n_removed, kept_text), one row for each text that loses words; ``tag`` is ``text_tags``'."""
     from .bloom import might_contain
-    spans = common.cut(repeated_spans(docs, width), "spans").groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    spans = common.cut(spans, "merged")
+    spans = common.cut(repeated_spans(docs, width), "spans")
     rows = might_contain(common.plain_ids(docs, "doc_id", "text").where(F.col("doc_id").isNotNull()), "doc_id", spans.select("doc_id"))
     texts = rows.mapInArrow(_tagged, "doc_id long, tag long, z binary").join(spans, ["doc_id", "tag"])
     return common.cut(texts.mapInArrow(_strip, "doc_id long, tag long, n_removed long, kept_text string"), "stripped").dropDuplicates(["doc_id", "tag"])
