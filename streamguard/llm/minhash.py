@@ -8,17 +8,19 @@
    misses all 32 bands with probability 5e-8.
 3. The low two bits of the minima are kept as a packed signature of four
    longs; equal positions are counted with bit operations and corrected for
-   chance collisions.  Pairs far below the threshold end here (the slack is
-   over six standard errors).
+   chance collisions.  Pairs below the threshold by more than five standard
+   errors end here.
 4. The remaining pairs are confirmed on their full shingle sets.  The text of
    a hub is sent once per block of its partners, never once per pair.
 
 Hot buckets: the first round compares each member with the bucket's smallest
-document only.  Pairs whose ends are in one component already need no
-comparison; in buckets that still hold several components the number of hubs
-grows by ``HUB_GROWTH`` each round until every pair of different components
-has been compared, so no link between components is lost and a bucket of
-true copies costs one comparison per member.
+document only.  Pairs whose ends are then in one component need no comparison.
+Buckets that still hold several components are finished exactly: small ones
+by joining their members, with the size and signature tests in the join;
+large ones by blocks: each block of documents becomes an index of shingles
+in one task, through which the members outside the bucket's main component
+stream.  So no link between components is lost, and a bucket of true copies
+costs one comparison per member.
 
 Defined results: null or wordless texts have an empty set and link with
 nothing; fewer words than ``width`` make one shingle of the whole sequence;
@@ -43,9 +45,10 @@ WIDTH, THRESHOLD_PCT = 5, 80
 BANDS, ROWS, BITS = 32, 4, 2
 HASHES = BANDS * ROWS
 #: Pairs whose estimate lies below the threshold by more than this are dropped before the exact check.
-SLACK = 0.3
-HUB_GROWTH = 64
-#: Partners of one hub that one task compares.
+SLACK = 0.21
+#: Open buckets up to this size compare by pairs of rows, larger ones by blocks of BLOCK documents.
+PAIRED = 32
+#: Partners of one hub, or documents of one block, that a task compares at once.
 BLOCK = 256
 _MULT = mix(np.arange(1, HASHES + 1, dtype=U)) | U(1)
 _ADD = mix(np.arange(1001, 1001 + HASHES, dtype=U))
@@ -184,38 +187,90 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, pct: int = THRESHOLD_PC
         sure = common.cut(sure, "pairs")
         return sure.join(sure.groupBy("a").agg(F.count("*").alias("n_b")), "a")
 
-    links, hubs = None, 1
-    pairs = members.where(F.col("id") != F.col("hub")).select(F.col("hub").alias("a"), F.col("id").alias("b"))
-    nodes = None
-    while True:
-        candidates = likely(pairs)
-        wanted = candidates.select(F.col("a").alias("doc_id")).union(candidates.select(F.col("b").alias("doc_id"))).distinct()
-        texts = _texts(docs, reps, wanted)
-        found = common.cut(_confirm(candidates, texts, width, pct, parts), "links")
-        links = found if links is None else common.cut(links.unionByName(found), "links")
-        nodes = common.cut(components(links), "nodes")
-        # buckets that hold more than one component: compare further hubs with the other components
-        placed = members.where(F.col("size") > 2).join(nodes, members.id == nodes.node, "left").withColumn("component", F.coalesce("component", "id")).drop("node")
-        mixed = placed.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") < F.col("hi")).drop("lo", "hi")
-        open_ = common.cut(placed.join(mixed, ["band", "key"]), "open")
-        largest = open_.agg(F.max("size")).first()[0]
-        if largest is None or hubs >= largest:
-            break
-        # a fixed pseudo-random share of each bucket's members serves as hubs, larger each round until all do
-        share = (F.xxhash64("id", "band").cast("double") / 2.0 ** 64 + 0.5) * F.col("size")
-        first = open_.where((share >= (0 if hubs == 1 else hubs)) & (share < hubs * HUB_GROWTH))
-        left = first.select("band", "key", F.col("id").alias("x"), F.col("component").alias("cx"))
-        both = left.join(open_.select("band", "key", F.col("id").alias("y"), F.col("component").alias("cy")), ["band", "key"]).where(F.col("cx") != F.col("cy"))
-        pairs = both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        hubs *= HUB_GROWTH
+    first = likely(members.where(F.col("id") != F.col("hub")).select(F.col("hub").alias("a"), F.col("id").alias("b")))
+    links = common.cut(_confirm(first, _texts(docs, _ends(first)), width, pct, parts), "links")
+    nodes = common.cut(components(links), "nodes")
+    # buckets that still hold several components: every pair of different components is compared
+    placed = members.where(F.col("size") > 2).join(nodes, members.id == nodes.node, "left").withColumn("component", F.coalesce("component", "id")).drop("node", "hub")
+    shares = placed.groupBy("band", "key", "component").agg(F.count("*").alias("n"))
+    mixed = shares.groupBy("band", "key").agg(F.count("*").alias("kinds"), F.max_by("component", F.struct("n", "component")).alias("main")).where(F.col("kinds") > 1).drop("kinds")
+    open_ = common.cut(placed.join(mixed, ["band", "key"]).join(sigs, F.col("id") == F.col("rep")).drop("rep"), "open")
+    small = open_.where(F.col("size") <= PAIRED)
+    x, y = (small.select("band", "key", F.col("id").alias(c), F.col("component").alias(f"c{c}"), F.col("n_shingles").alias(f"s{c}"), F.col("sig").alias(f"g{c}")) for c in "ab")
+    near = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (100 * F.least("sa", "sb") >= pct * F.greatest("sa", "sb")) & (estimate(F.col("ga"), F.col("gb")) >= pct / 100 - SLACK)
+    second = common.cut(x.join(y, ["band", "key"]).where(near).select("a", "b").distinct(), "pairs")
+    second = second.join(second.groupBy("a").agg(F.count("*").alias("n_b")), "a")
+    large = open_.where(F.col("size") > PAIRED)
+    wanted = _ends(second).unionByName(large.select(F.col("id").alias("doc_id"))).distinct()
+    texts = _texts(docs, wanted)
+    more = _confirm(second, texts, width, pct, parts).unionByName(_confirm_blocks(large, texts, width, pct, parts))
+    nodes = common.cut(components(links.unionByName(common.cut(more, "links"))), "nodes")
     whole = sketch.join(classes, "digest", "left")
     whole = whole.join(nodes, whole.rep == nodes.node, "left")
     component = F.coalesce("component", "rep", "doc_id")
     return whole.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _texts(docs: DataFrame, reps: DataFrame, wanted: DataFrame) -> DataFrame:
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
+
+
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(doc_id, z) of the wanted documents; a bounded Bloom filter keeps the others out of the shuffle."""
     from .bloom import might_contain
+    wanted = common.cut(wanted, "wanted")
     rows = might_contain(common.plain_ids(docs, "doc_id", "text"), "doc_id", wanted)
     return common.cut(common.squeeze(rows).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+
+
+def _confirm_blocks(large: DataFrame, texts: DataFrame, width: int, pct: int, parts: int) -> DataFrame:
+    """Links between different components of large buckets.
+
+    Every member lies in one block of its bucket; members outside the main
+    component visit all blocks.  A pair of different components has such a
+    member, so it meets in some block.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    rows = large.join(texts, large.id == texts.doc_id).select("band", "key", "id", "component", "main", "sig", "z", blocks.alias("blocks"))
+    kept = rows.select("band", "key", F.pmod(F.xxhash64("id", "band"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("side"), "id", "component", "sig", "z")
+    visit = rows.where(F.col("component") != F.col("main")).select("band", "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("side"), "id", "component", "sig", "z")
+    dealt = kept.unionByName(visit).repartition(parts, "band", "key", "block").sortWithinPartitions("band", "key", "block", "side", "id")
+    ones = U(int("01" * 32, 2))
+
+    def compare(batches):
+        at, held, index = None, [], None
+        for batch in batches:
+            sets = Texts(pa.array(common.unsqueeze(batch.column("z")), pa.binary()).cast(pa.string()), lower=True)
+            h, bounds = shingle_sets(sets, width)
+            sig = batch.column("sig").flatten().to_numpy().view(U).reshape(batch.num_rows, -1)
+            linked = []
+            places = zip(*(batch.column(c).to_pylist() for c in ("band", "key", "block", "side", "id", "component")), strict=True)
+            for i, (band, key, block, side, doc, component) in enumerate(places):
+                if (band, key, block) != at:
+                    at, held, index = (band, key, block), [], None
+                own = h[bounds[i]:bounds[i + 1]]
+                if side == 0:
+                    held.append((doc, component, own, sig[i]))
+                    continue
+                if index is None:
+                    sizes = np.array([len(x[2]) for x in held], np.int64)
+                    every = np.concatenate([x[2] for x in held]) if held else np.zeros(0, U)
+                    order = np.argsort(every)
+                    index = every[order], np.repeat(np.arange(len(held)), sizes)[order], sizes, np.array([x[0] for x in held]), np.array([x[1] for x in held]), np.array([x[3] for x in held])
+                keys, owner, sizes, ids, comps, sigs = index
+                if not len(ids):
+                    continue
+                different = sum(np.bitwise_count(((x := sigs[:, j] ^ sig[i, j]) | x >> U(1)) & ones).astype(np.int64) for j in range(sig.shape[1]))
+                chance = 2.0 ** -BITS
+                may = (comps != component) & ((1 - different / HASHES - chance) / (1 - chance) >= pct / 100 - SLACK)
+                if not may.any():
+                    continue
+                lo, hi = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
+                n = hi - lo
+                hits = owner[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+                both = np.bincount(hits, minlength=len(ids))
+                good = np.flatnonzero(may & (100 * both >= pct * (sizes + len(own) - both)) & (both > 0))
+                _, once = np.unique(comps[good], return_index=True)  # one link to each component is enough
+                linked.extend((int(min(doc, ids[g])), int(max(doc, ids[g]))) for g in good[once].tolist())
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in linked], pa.int64()) for k in (0, 1)], names=["a", "b"])
+    return dealt.mapInArrow(compare, "a long, b long")
