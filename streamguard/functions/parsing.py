@@ -42,9 +42,20 @@ def hex_text(c: str | Column) -> Column:
 
 
 def hex_int(c: str | Column) -> Column:
-    """C4: hex text to integer (null beyond 15 digits or when not hex)."""
-    s = hex_text(c)
-    return F.when(F.length(s) <= 15, F.conv(s, 16, 10).try_cast("bigint"))
+    """C4: hex text of any width to DECIMAL(38,0); leading zeros do not count.
+
+    Null when not hex, or beyond 31 significant digits, which that type cannot hold.
+    """
+    s = F.regexp_replace(hex_text(c), "^0+(?=.)", "")
+    low = F.conv(F.right(s, F.lit(15)), 16, 10).cast("decimal(19,0)")
+    return F.when(F.length(s) <= 31, _wide(s, low))
+
+
+def _wide(s: Column, low: Column) -> Column:
+    """Digits above the lowest 15, times 16^15, plus the lowest 15."""
+    above = F.left(s, F.greatest(F.length(s) - 15, F.lit(0)))
+    high = F.coalesce(F.conv(F.concat(F.lit("0"), above), 16, 10), F.lit("0")).cast("decimal(20,0)")
+    return (high * F.lit(16 ** 15).cast("decimal(19,0)") + low).cast("decimal(38,0)")
 
 
 def popcount_hex(c: str | Column) -> Column:

@@ -2,9 +2,9 @@
 
 ``percentile`` keeps every value of a group in memory; ``percentile_approx``
 is bounded but inexact.  ``exact_quantiles`` uses the approximate sketch only
-to bracket the wanted ranks (rank error <= n / accuracy), counts the rows below
-the bracket, and ranks just the bracketed rows (about ``8 n / accuracy`` per
-group).  Interpolation is linear between order statistics (numpy / pandas /
+to bracket the wanted ranks (rank error <= n / accuracy), counts rows per value
+with a map-side combine, and ranks just the distinct values in the bracket: a
+value that most rows share is one row there.  Interpolation is linear between order statistics (numpy / pandas /
 DuckDB ``quantile_cont``).
 """
 
@@ -49,17 +49,18 @@ def exact_quantiles(df: DataFrame, value: str | Column, groups: Sequence[str], p
                              F.floor(h).cast("bigint").alias("k"), (h - F.floor(h)).alias("frac")))
     brackets = stats.select(*groups, "_n", F.explode(F.array(*rows)).alias("b")).select(
         *groups, "_n", "b.*")
-    # Rows below each bracket and the bracketed rows themselves.
-    joined = d.join(brackets, on=groups, how="inner")
-    below = joined.groupBy(*groups, "i").agg(F.count_if(F.col("_v") < F.col("lo")).alias("_below"))
-    inside = joined.filter((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
+    # Counts per value, so a value that most rows share is one row from here on.
+    counted = d.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_c")).join(brackets, on=groups, how="inner")
+    below = counted.groupBy(*groups, "i").agg(F.sum(F.when(F.col("_v") < F.col("lo"), F.col("_c")).otherwise(0)).alias("_below"))
+    inside = counted.filter((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
     w = Window.partitionBy(*groups, "i").orderBy("_v")
-    ranked = (inside.join(below, on=groups + ["i"])
-              .withColumn("_r", F.col("_below") + F.row_number().over(w) - 1)
-              .filter((F.col("_r") == F.col("k")) | (F.col("_r") == F.col("k") + 1)))
+    # a value holds the ranks from _r - _c to _r - 1
+    ranked = inside.join(below, on=groups + ["i"]).withColumn("_r", F.col("_below") + F.sum("_c").over(w))
+    holds = lambda k: (F.col("_r") - F.col("_c") <= k) & (k < F.col("_r"))
+    ranked = ranked.filter(holds(F.col("k")) | holds(F.col("k") + 1))
     picked = ranked.groupBy(*groups, "i").agg(
-        F.max(F.when(F.col("_r") == F.col("k"), F.col("_v"))).alias("_a"),
-        F.max(F.when(F.col("_r") == F.col("k") + 1, F.col("_v"))).alias("_b"),
+        F.max(F.when(holds(F.col("k")), F.col("_v"))).alias("_a"),
+        F.max(F.when(holds(F.col("k") + 1), F.col("_v"))).alias("_b"),
         F.first("frac").alias("frac"))
     q = F.when(F.col("_b").isNull() | (F.col("frac") == 0), F.col("_a")).otherwise(
         F.col("_a") + F.col("frac") * (F.col("_b") - F.col("_a")))

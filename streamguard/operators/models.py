@@ -28,7 +28,7 @@ SEED = 42  # fixed values of the reference's model settings
 IFOREST_TREES = 100
 IFOREST_SAMPLE = 256
 RF_TREES = 200
-RF_MAX_DEPTH = 16
+RF_MAX_DEPTH = 30  # Spark's limit; the trees are otherwise grown without one
 LATENT_DIM = 16
 UCAD_CONTAMINATION = 0.076
 SEQ_LEN = 30
@@ -254,8 +254,8 @@ def one_class_rff(train: DataFrame, test: DataFrame, features: Sequence[str], nu
 
     The primal objective 1/2 |w|^2 + 1/(nu n) sum max(0, rho - w.phi(x)) - rho is
     minimised by full-batch subgradient steps.  Each step maps the partitions
-    with numpy (features -> phi -> margin) and returns one partial sum per
-    partition; only ``dim`` + 1 numbers per partition reach the driver.
+    with numpy (features -> phi -> margin) into one partial sum each; Spark adds
+    them and ``dim`` + 1 numbers reach the driver.
     Outliers: w.phi(x) < rho.
     """
     mx = Matrix(train, features, zero_fill=True)
@@ -271,7 +271,6 @@ def one_class_rff(train: DataFrame, test: DataFrame, features: Sequence[str], nu
     if spark.sparkContext.getCheckpointDir():
         ztr = ztr.checkpoint(eager=True)
     n = ztr.count()
-    out_schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("g", T.ArrayType(T.DoubleType()))])
     w, rho = np.zeros(dim), 0.0
     for it in range(iters):
         w_b, rho_b = w.copy(), rho
@@ -284,10 +283,12 @@ def one_class_rff(train: DataFrame, test: DataFrame, features: Sequence[str], nu
                 viol = phi @ w_b < rho_b
                 k += int(viol.sum())
                 g += phi[viol].sum(axis=0)
-            yield pd.DataFrame({"k": [k], "g": [g.tolist()]})
-        parts = ztr.mapInPandas(grad, out_schema).collect()
-        k = sum(r["k"] for r in parts)
-        g = np.sum([np.array(r["g"]) for r in parts], axis=0)
+            yield pd.DataFrame({"g": [[*g.tolist(), float(k)]]})
+        sums = ztr.mapInPandas(grad, "g array<double>").select(F.posexplode("g").alias("i", "s")).groupBy("i").agg(F.sum("s").alias("s"))
+        total = np.zeros(dim + 1)
+        for r in sums.collect():  # dim + 1 numbers, summed by Spark
+            total[r["i"]] = r["s"]
+        g, k = total[:dim], total[dim]
         lr = 1.0 / (it + 1)
         w = w - lr * (w - g / (nu * n))
         rho = rho - lr * (-1.0 + k / (nu * n))
@@ -405,9 +406,11 @@ def ward_on_centroids(centers: np.ndarray, weights: np.ndarray, k: int) -> np.nd
 
 
 def hierarchical(train_v: DataFrame, test_v: DataFrame, k: int = 5, micro: int = 500) -> DataFrame:
-    """K3: Ward clustering re-aimed for scale: KMeans to <= 500 weighted micro-clusters, Ward on those."""
-    n = train_v.count()
-    km = KMeans(k=int(min(micro, max(k, n // 20))), seed=SEED, maxIter=20, featuresCol="features",
+    """K3: Ward clustering re-aimed for scale: KMeans to ``micro`` weighted micro-clusters, Ward on those.
+
+    ``micro`` is a parameter of the method, the same for every size of the data.
+    """
+    km = KMeans(k=max(k, micro), seed=SEED, maxIter=20, featuresCol="features",
                 predictionCol="_micro").fit(train_v)
     sizes = {r["_micro"]: r["count"] for r in km.transform(train_v).groupBy("_micro").count().collect()}
     centers = np.array([c for c in km.clusterCenters()])

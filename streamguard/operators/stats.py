@@ -127,6 +127,11 @@ def standardize(df: DataFrame, mom: Mapping[str, tuple[float, float]], features:
     return df.select(*keep, *zs)
 
 
+def collected(prof: DataFrame) -> DataFrame:
+    """A profile (one row per feature) computed once and read again from the driver."""
+    return prof.sparkSession.createDataFrame(prof.collect(), prof.schema)
+
+
 def prepare(train: DataFrame, features: Sequence[str], strict: bool = False,
             always_keep: Sequence[str] = (), scale: bool = True) -> tuple[list[str], dict, dict]:
     """M2 -> M3 -> M4 (-> M5 moments) fitted on ``train``.
@@ -134,7 +139,7 @@ def prepare(train: DataFrame, features: Sequence[str], strict: bool = False,
     Returns (kept features, medians, moments).  Apply with ``impute`` then
     ``standardize`` to any frame (train or test).
     """
-    prof = feature_profile(train, features)
+    prof = collected(feature_profile(train, features))
     kept = drop_sparse(prof, strict=strict, always_keep=always_keep)
     kept = [c for c in features if c in kept]
     medians = {r["feature"]: r["median"] for r in prof.select("feature", "median").collect()}

@@ -1,20 +1,4 @@
 """Imports every query module so the registry is complete."""
 
-from . import q_stream  # noqa: F401
+from . import q_eval, q_models, q_stats, q_stream  # noqa: F401
 from .registry import QUERIES  # noqa: F401
-
-try:  # modules added as coverage grows
-    from . import q_stats  # noqa: F401
-except ImportError as e:  # pragma: no cover
-    if "q_stats" not in str(e):
-        raise
-try:
-    from . import q_models  # noqa: F401
-except ImportError as e:  # pragma: no cover
-    if "q_models" not in str(e):
-        raise
-try:
-    from . import q_eval  # noqa: F401
-except ImportError as e:  # pragma: no cover
-    if "q_eval" not in str(e):
-        raise

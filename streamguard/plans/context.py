@@ -1,9 +1,9 @@
 """Shared inputs of the registered queries.
 
 The packets stand-in and the two feature frames are read by most queries.
-Each is computed once per (session, data folder) and cut from its lineage with
-a reliable checkpoint into the session's checkpoint folder, the way a cluster
-job writes an intermediate table once and lets many reports read it.
+Each is computed once per (session, data folder) and written as a Parquet table,
+partitioned by split and attack type, into the session's shared folder; queries
+read only the partitions and columns they use.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import features as FE
 from ..operators import stream
-from ..session import cut_lineage, prepare
+from ..session import prepare, write_table
 from ..sources import ingest
 from ..sources.packets import packets, read_table
 
@@ -31,7 +31,7 @@ def _cached(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     k = _key(spark, sf_dir, name)
     if k not in _CACHE:
         prepare(spark)
-        _CACHE[k] = cut_lineage(build())
+        _CACHE[k] = write_table(build(), name, ("split", "attack_type"))
         stream.release()
     return _CACHE[k]
 

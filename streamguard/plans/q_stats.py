@@ -348,7 +348,7 @@ def corr_delta(spark, sf):
     out = []
     for lab in (0, 1):
         sub = df.filter(F.col("attack") == lab)
-        prof = ST.feature_profile(sub, CORE)
+        prof = ST.collected(ST.feature_profile(sub, CORE))
         okf = [r["feature"] for r in prof.filter(F.col("nonnull") >= F.floor(F.col("n") * 0.5)).collect()]
         med = {r["feature"]: r["median"] for r in prof.collect()}
         filled = sub.select(*[F.coalesce(ST.dbl(c), F.lit(med[c])).alias(c) if med[c] is not None else ST.dbl(c).alias(c)

@@ -106,10 +106,11 @@ def bitstring_numeric(spark, sf):
 
 
 @query("bitstring_hex_int", "C4", O.sql(
-    "SELECT packet_id, CASE WHEN length(" + O._HEX + ") <= 15 THEN CAST(('0x' || " + O._HEX +
-    ") AS BIGINT) END AS bitstring_int FROM typed"))
+    "SELECT packet_id, CAST(CASE WHEN length(z) <= 15 THEN CAST(('0x' || z) AS HUGEINT) WHEN length(z) <= 31 THEN "
+    "CAST(CAST(('0x' || left(z, length(z) - 15)) AS UBIGINT) AS HUGEINT) * 1152921504606846976 + CAST(('0x' || right(z, 15)) AS HUGEINT) END AS VARCHAR) "
+    "AS bitstring_int FROM (SELECT packet_id, regexp_replace(" + O._HEX + ", '^0+(.)', '\\1') AS z FROM typed)"))
 def bitstring_hex_int(spark, sf):
-    return ctx.typed(spark, sf).select("packet_id", "bitstring_int")
+    return ctx.typed(spark, sf).select("packet_id", F.col("bitstring_int").cast("string").alias("bitstring_int"))
 
 
 @query("bitstring_popcount", "C5", O.sql("SELECT packet_id, bitstring_bitcount FROM typed"))
@@ -124,7 +125,7 @@ def coerce_numeric(spark, sf):
     """Text fields to numbers, bad text -> null."""
     t = ctx.typed(spark, sf)
     return t.select("packet_id", P.to_number("bit_string").alias("bit_string_num"),
-                    P.to_number(F.substring("source", 2, 1000)).alias("source_num"),
+                    P.to_number(F.expr("substring(source, 2)")).alias("source_num"),
                     P.to_number("boolean_raw").alias("boolean_num"))
 
 

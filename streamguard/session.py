@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,12 +48,23 @@ def prepare(spark: SparkSession) -> SparkSession:
     if not spark.sparkContext.getCheckpointDir():
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
-            # Only reached in tests and local runs: a cluster names a shared folder.
+            master = spark.sparkContext.master
+            if master != "local" and not master.startswith("local["):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             configured = tempfile.mkdtemp(prefix="streamguard-ckpt-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(configured)
     return spark
 
 
+def write_table(df: DataFrame, name: str, partitions: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared folder, by ``partitions``, and read it back."""
+    spark = prepare(df.sparkSession)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    by = [c for c in partitions if c in df.columns]
+    df.write.partitionBy(*by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the session's checkpoint folder (survives executor loss).
 

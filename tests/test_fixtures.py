@@ -91,3 +91,33 @@ def test_segment_edges_are_exact(spark, target):
     base = by_id(feats(spark, rows, None), *cols)
     got = by_id(feats(spark, rows, target), *cols)
     assert got == base
+
+
+def test_hex_of_any_width(spark):
+    from pyspark.sql import functions as F
+    from streamguard.functions import parsing as P
+    rows = [("0000000000000080",), ("ffffffffffffffff",), ("0x0",), ("1" + "0" * 20,), ("xyz",), (None,), ("0" * 40 + "1f",), ("f" * 31,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "h string").select(P.hex_int(F.col("h"))).collect()]
+    assert [None if x is None else int(x) for x in got] == [128, 2 ** 64 - 1, 0, 16 ** 20, None, None, 31, 16 ** 31 - 1]
+
+
+def test_quantiles_rank_values_not_rows(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+    from streamguard.functions.quantiles import exact_quantiles
+    df = spark.range(300_000).select((F.col("id") % 7 == 0).cast("double").alias("flag"), F.exp(F.col("id") / 20_000.0).alias("tail"))
+    probs = [0.01, 0.5, 0.857, 0.99]
+    for c in ("flag", "tail"):
+        x = np.array([r[0] for r in df.select(c).collect()])
+        got = exact_quantiles(df, c, [], probs, accuracy=2_000).first()
+        assert np.allclose(list(got), np.quantile(x, probs), rtol=1e-12)
+
+
+def test_knn_returns_every_test_point(spark):
+    from streamguard.operators.neighbors import knn_assign
+    import random
+    rng = random.Random(3)
+    train = spark.createDataFrame([(i, [rng.random(), rng.random() * 1e-6], i % 3) for i in range(60)], "packet_id long, v array<double>, y int")
+    test = spark.createDataFrame([(1000 + i, [rng.random() * 1e6, rng.random()]) for i in range(9)], "packet_id long, v array<double>")
+    got = knn_assign(train, test, "packet_id", "v", "y").collect()
+    assert sorted(r.packet_id for r in got) == list(range(1000, 1009)) and all(r.pred is not None for r in got)
