@@ -236,8 +236,9 @@ def hash_arrays(model: DataFrame, shards: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array((h >> U(64 - width)).astype(np.int32)), pa.array(h.view(np.int64)), b.column("logp").cast(pa.float32()), b.column("backoff").cast(pa.float32())], names=["shard", "h", "logp", "backoff"])
 
     def packed(batches):
-        whole = pa.Table.from_batches(list(batches))
-        if whole.num_rows:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            whole = pa.Table.from_batches(held)
             h = whole.column("h").to_numpy().view(U)
             order = np.argsort(h)
             rows = [np.ascontiguousarray(x[order]).tobytes() for x in (h, whole.column("logp").to_numpy(), whole.column("backoff").to_numpy())]
