@@ -93,7 +93,9 @@ def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 #: Distinct n-grams that a counting task holds before it sends them on.
-HELD = 1_000_000
+HELD = 400_000
+#: Text bytes of a chunk: every character takes some ten 8-byte numbers while it is counted or scored.
+CHUNK_BYTES = 256 << 10
 
 
 def _merge(parts: list[tuple]) -> tuple:
@@ -113,12 +115,12 @@ def _count_partition(batches, everything: bool = False):
     def flush():
         _, n, grams, langs = parts[0]
         known = list(names)
-        for lo in range(0, len(n), 50_000):
-            whole = grams[lo:lo + 50_000].astype("<u4").tobytes().decode("utf-32-le")
+        for lo in range(0, len(n), 20_000):
+            whole = grams[lo:lo + 20_000].astype("<u4").tobytes().decode("utf-32-le")
             rows = [whole[i:i + ORDER] for i in range(0, len(whole), ORDER)]
-            yield pa.RecordBatch.from_arrays([pa.array([known[x] for x in langs[lo:lo + 50_000].tolist()]), pa.array(rows), pa.array(n[lo:lo + 50_000])], names=["lang", "gram", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([known[x] for x in langs[lo:lo + 20_000].tolist()]), pa.array(rows), pa.array(n[lo:lo + 20_000])], names=["lang", "gram", "n"])
 
-    for table in common.by_chunk(batches, "text"):
+    for table in common.by_chunk(batches, "text", CHUNK_BYTES):
         texts = Texts(common.column(table, "text"))
         langs = [x if x is not None else _NO_LANG for x in table.column("lang").to_pylist()]
         got = features(texts)
@@ -138,7 +140,7 @@ def _count_partition(batches, everything: bool = False):
         parts.append((keys, n.astype(np.int64), grams, number[text[where]]))
         if sum(len(p[0]) for p in parts) > HELD:
             parts = [_merge(parts)]
-            if len(parts[0][0]) > HELD // 2:  # bounded memory: Spark adds the parts
+            if len(parts[0][0]) > 3 * HELD // 4:  # bounded memory: Spark adds the parts
                 yield from flush()
                 parts = []
     if parts:
@@ -311,7 +313,7 @@ def _score_by_broadcast(docs: DataFrame, arrays: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast(tuple(b"".join([*(bytes(r[c]) for r in shards), stop]) for c, stop in stops.items()))
 
     def run(batches):
-        for table in common.by_chunk(batches, "text"):
+        for table in common.by_chunk(batches, "text", CHUNK_BYTES):
             if id(shared.value) not in _loaded:
                 _loaded.clear()
                 _loaded[id(shared.value)] = _Model(*shared.value)
