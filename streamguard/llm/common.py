@@ -70,8 +70,26 @@ def shards_for(df: DataFrame, shard_bytes: int = SHARD_BYTES) -> int:
     return max(1, least, -(-input_bytes(df) // shard_bytes))
 
 
-def by_chunk(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.Table]:
-    """Regroup Arrow batches into tables of about ``limit`` text bytes (at least one row each)."""
+#: What a Python worker keeps between tasks: one table at a time, by name.
+_kept: dict = {}
+
+
+def kept(name: str, key, build: Callable):
+    """The worker's table ``name`` for ``key``, built once and kept for the worker's next tasks."""
+    if _kept.get(name, (None,))[0] != key:
+        _kept.clear()
+        _kept[name] = (key, build())
+    return _kept[name][1]
+
+
+def by_chunk(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES, keep: str | None = None) -> Iterator[pa.Table]:
+    """Regroup Arrow batches into tables of about ``limit`` text bytes (at least one row each).
+
+    Workers serve one operator after another: what they still keep for others than ``keep`` goes first.
+    """
+    for name in [n for n in _kept if n != keep]:
+        del _kept[name]
+    pa.default_memory_pool().release_unused()
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
@@ -96,10 +114,10 @@ def column(table: pa.Table, name: str) -> pa.Array:
     return pa.concat_arrays(got.chunks) if isinstance(got, pa.ChunkedArray) else got
 
 
-def map_chunks(df: DataFrame, fn: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str, text: str = "text", limit: int = CHUNK_BYTES) -> DataFrame:
+def map_chunks(df: DataFrame, fn: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str, text: str = "text", limit: int = CHUNK_BYTES, keep: str | None = None) -> DataFrame:
     """``mapInArrow`` over chunks of bounded text size."""
     def run(batches):
-        for table in by_chunk(batches, text, limit):
+        for table in by_chunk(batches, text, limit, keep):
             yield from fn(table)
     return df.mapInArrow(run, schema)
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from . import common
 from .ranking import prefix_sums
-from .tokens import encoder, with_end
+from .tokens import KEPT, encoder, with_end
 from .wordhash import Texts
 
 CAPACITY = 1024
@@ -54,7 +54,7 @@ def pieces(docs: DataFrame, tokenizer: str, cuts: str = "blank", capacity: int =
         yield pa.RecordBatch.from_arrays(out, names=names)
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
     narrow = common.plain_ids(docs, "doc_id", "text")
-    return common.map_chunks(narrow, lambda t: (b.set_column(1, "piece", b.column(1).cast(pa.int32())) for b in run(t)), schema)
+    return common.map_chunks(narrow, lambda t: (b.set_column(1, "piece", b.column(1).cast(pa.int32())) for b in run(t)), schema, keep=KEPT)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:

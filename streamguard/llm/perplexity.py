@@ -24,6 +24,8 @@ its own; repeated rows are scored each; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -303,24 +305,24 @@ class _Model:
         return out
 
 
-_loaded: dict[int, _Model] = {}
+#: Name under which a worker keeps the model between tasks.
+KEPT = "model"
 
 
 def _score_by_broadcast(docs: DataFrame, arrays: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     shards = sorted(arrays.collect(), key=lambda r: r.shard)
     stops = {"hashes": b"\xff" * 8, "logp": bytes(4), "backoff": bytes(4)}
+    key = uuid.uuid4().hex
     shared = spark.sparkContext.broadcast(tuple(b"".join([*(bytes(r[c]) for r in shards), stop]) for c, stop in stops.items()))
 
     def run(batches):
-        for table in common.by_chunk(batches, "text", CHUNK_BYTES):
-            if id(shared.value) not in _loaded:
-                _loaded.clear()
-                _loaded[id(shared.value)] = _Model(*shared.value)
+        for table in common.by_chunk(batches, "text", CHUNK_BYTES, KEPT):
+            model = common.kept(KEPT, key, lambda: _Model(*shared.value))
             texts = Texts(common.column(table, "text"))
             langs = [x if x is not None else _NO_LANG for x in table.column("lang").to_pylist()]
             points, at, counts = _padded(texts)
-            total = _loaded[id(shared.value)].score(points, at, np.repeat(_lang_seeds(langs), counts))
+            total = model.score(points, at, np.repeat(_lang_seeds(langs), counts))
             got = features(texts)
             edges = np.concatenate([[0], np.cumsum(counts)])
             sums = np.concatenate([[0.0], np.cumsum(total)])

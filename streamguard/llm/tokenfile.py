@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
-from .tokens import encoder, with_end
+from .tokens import KEPT, encoder, with_end
 from .wordhash import Texts
 
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 16 << 20, 128 << 10, 2_000
@@ -34,7 +34,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, cuts: str = "word")
     """Write (part, row, doc_id, n_tokens, before, ids) in ascending doc_id order under ``path``."""
     def run(batches):
         part, row, before = TaskContext.get().partitionId(), 0, 0
-        for table in common.by_chunk(batches, "text"):
+        for table in common.by_chunk(batches, "text", keep=KEPT):
             ids, bounds = with_end(*encoder(tokenizer, cuts).encode(Texts(common.column(table, "text"))))
             n = len(bounds) - 1
             yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part, np.int32)), pa.array(np.arange(row, row + n)), common.column(table, "doc_id"), pa.array(np.diff(bounds)), pa.array(before + bounds[:-1]),

@@ -13,6 +13,7 @@ import os
 
 import numpy as np
 
+from . import common
 from .wordhash import Sorted, Texts, U
 
 END_ID = 2
@@ -61,7 +62,9 @@ class Encoder:
             return self._forget()
         order = np.argsort(keys, kind="stable")
         begin = np.cumsum(sizes, dtype=np.int64) - sizes
-        self.keys, self.sizes, self.flat = keys[order], sizes[order], flat[_spans(begin[order], sizes[order])]
+        blocks = [order[i:i + RECENT] for i in range(0, len(order), RECENT)]
+        self.flat = np.concatenate([flat[_spans(begin[o], sizes[o])] for o in blocks])
+        self.keys, self.sizes = keys[order], sizes[order]
         self.index, self.begin, self.recent = Sorted(self.keys), np.cumsum(self.sizes, dtype=np.int64) - self.sizes, []
 
     def _fresh(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -129,14 +132,13 @@ def _spans(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
+#: Name under which a worker keeps its encoder between tasks.
+KEPT = "encoder"
 
 
 def encoder(path: str, cuts: str) -> Encoder:
     """The worker's encoder for a tokenizer file."""
-    if (path, cuts) not in _encoders:
-        _encoders[path, cuts] = Encoder(path, cuts)
-    return _encoders[path, cuts]
+    return common.kept(KEPT, (path, cuts), lambda: Encoder(path, cuts))
 
 
 def with_end(ids: np.ndarray, bounds: np.ndarray, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:

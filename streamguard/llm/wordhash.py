@@ -122,8 +122,10 @@ class Sorted:
         """``ended``: the keys already close with the largest hash as a stop."""
         self.keys = keys if ended else np.append(keys, U(0xFFFFFFFFFFFFFFFF))
         self.bits = max(1, min(22, int(len(keys)).bit_length()))
-        edge = np.arange(1 << self.bits, dtype=U) << U(64 - self.bits)
-        self.jump = np.searchsorted(self.keys, edge).astype(np.int32 if len(keys) < 1 << 31 else np.int64)
+        self.jump = np.empty(1 << self.bits, np.int32 if len(keys) < 1 << 31 else np.int64)
+        for lo in range(0, 1 << self.bits, 1 << 16):  # in blocks: the index itself is all that is held
+            edge = np.arange(lo, min(lo + (1 << 16), 1 << self.bits), dtype=U) << U(64 - self.bits)
+            self.jump[lo:lo + len(edge)] = np.searchsorted(self.keys, edge)
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = self.jump[(h >> U(64 - self.bits)).astype(np.int64)].astype(np.int64)
