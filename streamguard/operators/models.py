@@ -9,7 +9,7 @@ each is bounded by features x components, never by rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -120,26 +120,36 @@ def linear_map(cols: Sequence[Column], weights: np.ndarray) -> list[Column]:
     return out
 
 
-def pca_latent(train: DataFrame, df: DataFrame, features: Sequence[str], k: int = LATENT_DIM,
-               id_cols: Sequence[str] = ("packet_id",)) -> tuple[DataFrame, list[str]]:
-    """Latent code (k principal coordinates) and reconstruction error mean((x - x_hat)^2) per row."""
+def latent_model(train: DataFrame, features: Sequence[str], k: int = LATENT_DIM,
+                 id_cols: Sequence[str] = ("packet_id",)) -> tuple[Callable[[DataFrame], DataFrame], list[str]]:
+    """D4 fitted once on ``train``: the result adds latent codes and the reconstruction error mean((x - x_hat)^2)."""
     mx = Matrix(train, features, zero_fill=True)
     k = min(k, len(mx.kept))
     pc = PCA(k=k, inputCol="features", outputCol="pc").fit(mx.vectors(train)).pc.toArray()
-    z = mx.z(df)
-    xs = [F.col(c) for c in mx.kept]
-    lat = linear_map(xs, pc)
-    z = z.select(*id_cols, *[F.col(c) for c in z.columns if c not in id_cols],
-                 *[e.alias(f"z{j}") for j, e in enumerate(lat)])
-    rec = linear_map([F.col(f"z{j}") for j in range(k)], pc.T)
-    err = sum(((x - r) ** 2 for x, r in zip(xs, rec)), F.lit(0.0)) / len(xs)
-    return z.withColumn("recon_error", err), [f"z{j}" for j in range(k)]
+    codes = [f"z{j}" for j in range(k)]
+
+    def apply(df: DataFrame) -> DataFrame:
+        z = mx.z(df)
+        xs = [F.col(c) for c in mx.kept]
+        z = z.select(*id_cols, *[F.col(c) for c in z.columns if c not in id_cols],
+                     *[e.alias(n) for n, e in zip(codes, linear_map(xs, pc), strict=True)])
+        rec = linear_map([F.col(n) for n in codes], pc.T)
+        return z.withColumn("recon_error", sum(((x - r) ** 2 for x, r in zip(xs, rec)), F.lit(0.0)) / len(xs))
+    return apply, codes
+
+
+def pca_latent(train: DataFrame, df: DataFrame, features: Sequence[str], k: int = LATENT_DIM,
+               id_cols: Sequence[str] = ("packet_id",)) -> tuple[DataFrame, list[str]]:
+    """Latent code (k principal coordinates) and reconstruction error of every row of ``df``."""
+    apply, codes = latent_model(train, features, k, id_cols)
+    return apply(df), codes
 
 
 # ------------------------------------------------------------------ B: binary detectors
 
 
-def fit_predict_clusters(train_v: DataFrame, test_v: DataFrame, kind: str, k: int, max_iter: int = 20) -> DataFrame:
+def cluster_model(train_v: DataFrame, kind: str, k: int, max_iter: int = 20) -> Callable[[DataFrame], DataFrame]:
+    """Fit once on ``train_v``; the result adds ``cluster`` to any frame with ``features``."""
     if kind == "kmeans":
         est = KMeans(k=k, seed=SEED, maxIter=max_iter, featuresCol="features", predictionCol="cluster")
     elif kind == "gmm":
@@ -149,8 +159,12 @@ def fit_predict_clusters(train_v: DataFrame, test_v: DataFrame, kind: str, k: in
         est = BisectingKMeans(k=k, seed=SEED, maxIter=max_iter, featuresCol="features", predictionCol="cluster")
     else:
         raise ValueError(kind)
-    out = est.fit(train_v).transform(test_v)
-    return out.drop("_prob") if "_prob" in out.columns else out
+    model = est.fit(train_v)
+    return lambda df: model.transform(df).drop("_prob")
+
+
+def fit_predict_clusters(train_v: DataFrame, test_v: DataFrame, kind: str, k: int, max_iter: int = 20) -> DataFrame:
+    return cluster_model(train_v, kind, k, max_iter)(test_v)
 
 
 def isolation_forest(train: DataFrame, test: DataFrame, features: Sequence[str], contamination: float,
@@ -314,8 +328,8 @@ def reconstruction_detector(train: DataFrame, test: DataFrame, features: Sequenc
     Each round's labels are cut from lineage with a checkpoint (the iterative
     loop stays short and survives executor loss).
     """
-    lat_tr, zcols = pca_latent(train, train, features)
-    lat_te, _ = pca_latent(train, test, features)
+    codes, zcols = latent_model(train, features)
+    lat_tr, lat_te = codes(train), codes(test)
     lab = top_share(lat_tr.select(id_col, "recon_error", *zcols), "recon_error", contamination)
     lab = lab.withColumn("_y", F.col("flagged").cast("double"))
     va = VectorAssembler(inputCols=zcols, outputCol="latent")
@@ -345,7 +359,6 @@ def sequence_detector(train_gaps: DataFrame, test_gaps: DataFrame, k: int = 8) -
     if means[cols[0]] is None:  # no complete normal training sequence: nothing to fit
         return te.select("end_packet_id", "seq_label", F.lit(None).cast("double").alias("seq_error"),
                          F.lit(None).cast("int").alias("pred"))
-    va = VectorAssembler(inputCols=cols, outputCol="features")
     centered = lambda d: d.select("*", *[(F.col(c) - float(means[c])).alias(f"c_{c}") for c in cols])
     ctr = centered(tr)
     pc = PCA(k=k, inputCol="features", outputCol="pc").fit(
@@ -353,11 +366,9 @@ def sequence_detector(train_gaps: DataFrame, test_gaps: DataFrame, k: int = 8) -
 
     def err(d):
         x = [F.col(f"c_{c}") for c in cols]
-        lat = linear_map(x, pc)
-        rec = linear_map(lat, pc.T)
+        rec = linear_map(x, pc @ pc.T)
         return d.withColumn("seq_error", sum((F.abs(a - r) for a, r in zip(x, rec)), F.lit(0.0)) / SEQ_LEN)
     thr = err(ctr).agg(F.max("seq_error")).collect()[0][0]
-    del va
     out = err(centered(te))
     return out.select("end_packet_id", "seq_label", "seq_error", (F.col("seq_error") > F.lit(thr)).cast("int")
                       .alias("pred"))
@@ -405,7 +416,7 @@ def ward_on_centroids(centers: np.ndarray, weights: np.ndarray, k: int) -> np.nd
     return out
 
 
-def hierarchical(train_v: DataFrame, test_v: DataFrame, k: int = 5, micro: int = 500) -> DataFrame:
+def hierarchical_model(train_v: DataFrame, k: int = 5, micro: int = 500) -> Callable[[DataFrame], DataFrame]:
     """K3: Ward clustering re-aimed for scale: KMeans to ``micro`` weighted micro-clusters, Ward on those.
 
     ``micro`` is a parameter of the method, the same for every size of the data.
@@ -420,4 +431,4 @@ def hierarchical(train_v: DataFrame, test_v: DataFrame, k: int = 5, micro: int =
     lab[nz] = ward_on_centroids(centers[nz], weights[nz], min(k, len(nz)))
     spark = train_v.sparkSession
     m = spark.createDataFrame([(int(i), int(lab[i])) for i in range(len(centers))], "_micro int, cluster int")
-    return km.transform(test_v).join(F.broadcast(m), on="_micro", how="left").drop("_micro")
+    return lambda df: km.transform(df).join(F.broadcast(m), on="_micro", how="left").drop("_micro")

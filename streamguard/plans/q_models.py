@@ -203,9 +203,8 @@ def _ml_clusters(kind, max_iter):
     def predict(mx, tr, te):
         vtr = mx.vectors(tr).select("packet_id", "y", "features")
         vte = mx.vectors(te).select("packet_id", "y", "features")
-        est_tr = MD.fit_predict_clusters(vtr, vtr, kind, CLUSTERS, max_iter)
-        est_te = MD.fit_predict_clusters(vtr, vte, kind, CLUSTERS, max_iter)
-        return est_tr, est_te
+        assign = MD.cluster_model(vtr, kind, CLUSTERS, max_iter)
+        return assign(vtr), assign(vte)
     return predict
 
 
@@ -227,20 +226,19 @@ def hierarchical5(spark, sf):
     def predict(mx, tr, te):
         vtr = mx.vectors(tr).select("packet_id", "y", "features")
         vte = mx.vectors(te).select("packet_id", "y", "features")
-        return MD.hierarchical(vtr, vtr, CLUSTERS), MD.hierarchical(vtr, vte, CLUSTERS)
+        assign = MD.hierarchical_model(vtr, CLUSTERS)
+        return assign(vtr), assign(vte)
     return _multiclass(spark, sf, predict)
 
 
 def _space_kmeans(dims):
     def predict(mx, tr, te):
         from pyspark.ml.feature import VectorAssembler
-        ztr, zc = MD.pca_latent(tr, tr, DETECT, k=dims)
-        zte, _ = MD.pca_latent(tr, te, DETECT, k=dims)
+        codes, zc = MD.latent_model(tr, DETECT, k=dims)
         va = VectorAssembler(inputCols=zc, outputCol="features")
-        vtr = va.transform(ztr.select("packet_id", "y", *zc))
-        vte = va.transform(zte.select("packet_id", "y", *zc))
-        return (MD.fit_predict_clusters(vtr, vtr, "kmeans", CLUSTERS, 100),
-                MD.fit_predict_clusters(vtr, vte, "kmeans", CLUSTERS, 100))
+        vtr, vte = (va.transform(codes(d).select("packet_id", "y", *zc)) for d in (tr, te))
+        assign = MD.cluster_model(vtr, "kmeans", CLUSTERS, 100)
+        return assign(vtr), assign(vte)
     return predict
 
 
@@ -270,9 +268,12 @@ def per_attack_detector(spark, sf):
 
 
 def _gap_sequences(spark, sf, split):
-    f = ctx.full(spark, sf).filter(F.col("split") == split)
-    lo, hi = f.filter(F.col("split") == split).agg(F.min("inter_arrival"), F.max("inter_arrival")).first()
-    scaled = f.withColumn("_g", F.coalesce((F.col("inter_arrival") - F.lit(lo)) / F.lit((hi - lo) or 1.0), F.lit(0.0)))
+    """Sequences of device gaps, nulls as 0, scaled by the range of the normal training gaps for either split."""
+    f = ctx.full(spark, sf)
+    gap = F.coalesce("inter_arrival", F.lit(0.0))
+    normal = f.filter((F.col("split") == "train") & (F.col("attack") == 0))
+    lo, hi = (float(x or 0.0) for x in normal.agg(F.min(gap), F.max(gap)).first())
+    scaled = f.filter(F.col("split") == split).withColumn("_g", (gap - F.lit(lo)) / F.lit((hi - lo) or 1.0))
     s = stream.segmented(scaled, schema.DEVICE, "base_time", reuse=True)
 
     def build(d, w):
@@ -295,8 +296,8 @@ def sequence_anomaly(spark, sf):
 def recon_error_stats(spark, sf):
     """Mean / std of reconstruction error by split x label and the train threshold at index int(n (1 - c))."""
     tr, te = _train_test(spark, sf)
-    a, _ = MD.pca_latent(tr, tr, DETECT)
-    b, _ = MD.pca_latent(tr, te, DETECT)
+    codes, _ = MD.latent_model(tr, DETECT)
+    a, b = codes(tr), codes(te)
     both = a.select("packet_id", "attack", "recon_error", F.lit("train").alias("split")).unionByName(
         b.select("packet_id", "attack", "recon_error", F.lit("test").alias("split")))
     stats = both.groupBy("split", "attack").agg(F.avg("recon_error").alias("mean_error"),
