@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import common
+
 from .wordhash import U, mix
 
 BITS = 1 << 24
@@ -35,7 +37,7 @@ def might_contain(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
         words = np.packbits(bits, bitorder="little").view(np.int64)
         at = np.flatnonzero(words)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(words[at])], names=["at", "word"])
-    rows = keys.where(F.col(name).isNotNull()).coalesce(16).mapInArrow(fill, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word"))
+    rows = keys.where(F.col(name).isNotNull()).coalesce(16).mapInArrow(common.tidy(fill), "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word"))
     words = np.zeros(BITS // 64, np.int64)  # 2 MB at most
     table = rows.toArrow()
     words[table.column("at").to_numpy()] = table.column("word").to_numpy()
@@ -47,4 +49,4 @@ def might_contain(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
             ids = b.column(key).fill_null(0).to_numpy(zero_copy_only=False)
             ok = np.logical_and.reduce([bits[p] for p in _places(ids)])
             yield b.filter(pa.array(ok))
-    return df.mapInArrow(keep, df.schema)
+    return df.mapInArrow(common.tidy(keep), df.schema)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -82,6 +83,22 @@ def kept(name: str, key, build: Callable):
     return _kept[name][1]
 
 
+def give_back() -> None:
+    """Return freed memory to the system; an idle worker otherwise keeps what its largest chunk took."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def tidy(fn: Callable) -> Callable:
+    """A ``mapInArrow`` function whose worker gives its memory back at the end of each task."""
+    def run(batches):
+        yield from fn(batches)
+        give_back()
+    return run
+
+
 def by_chunk(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES, keep: str | None = None) -> Iterator[pa.Table]:
     """Regroup Arrow batches into tables of about ``limit`` text bytes (at least one row each).
 
@@ -89,7 +106,6 @@ def by_chunk(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BY
     """
     for name in [n for n in _kept if n != keep]:
         del _kept[name]
-    pa.default_memory_pool().release_unused()
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
@@ -119,7 +135,7 @@ def map_chunks(df: DataFrame, fn: Callable[[pa.Table], Iterator[pa.RecordBatch]]
     def run(batches):
         for table in by_chunk(batches, text, limit, keep):
             yield from fn(table)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def squeeze(df: DataFrame, text: str = "text") -> DataFrame:
@@ -136,7 +152,7 @@ def squeeze(df: DataFrame, text: str = "text") -> DataFrame:
         for b in batches:
             z = [pack.compress((t or "").encode()) for t in b.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(z, pa.binary())], names=[*names, "z"])
-    return df.mapInArrow(run, f"{out}, z binary")
+    return df.mapInArrow(tidy(run), f"{out}, z binary")
 
 
 def unsqueeze(z: pa.Array) -> list[bytes]:

@@ -51,7 +51,7 @@ def _axes(classes: DataFrame, dim: int) -> tuple[np.ndarray, np.ndarray]:
             total[:dim] += x.T @ x
             total[dim] += x.sum(axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim + 1)), pa.ListArray.from_arrays(pa.array(np.arange(dim + 2, dtype=np.int32) * dim), pa.array(total.reshape(-1)))], names=["i", "s"])
-    parts = classes.select("embedding").mapInArrow(moments, "i long, s array<double>")
+    parts = classes.select("embedding").mapInArrow(common.tidy(moments), "i long, s array<double>")
     sums = parts.select("i", F.posexplode("s").alias("j", "s")).groupBy("i", "j").agg(F.sum("s").alias("s")).toPandas()
     total = np.zeros((dim + 1, dim))
     total[sums.i, sums.j] = sums.s
@@ -74,7 +74,7 @@ def _leaves(classes: DataFrame, dim: int, eps: float) -> DataFrame:
                                              names=[*b.schema.names, *(f"c{j}" for j in range(k)), "p"])
     kind = dict(classes.dtypes)["embedding"]
     order = [f"c{j}" for j in range(k)] + ["rep"]
-    rows = classes.select("rep", "m", "embedding").mapInArrow(project, f"rep long, m long, embedding {kind}, " + ", ".join(f"c{j} int" for j in range(k)) + ", p array<double>")
+    rows = classes.select("rep", "m", "embedding").mapInArrow(common.tidy(project), f"rep long, m long, embedding {kind}, " + ", ".join(f"c{j} int" for j in range(k)) + ", p array<double>")
     parts = max(1, min(common.shards_for(classes), 1 + classes.count() // LEAF))
     rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
 
@@ -97,7 +97,7 @@ def _leaves(classes: DataFrame, dim: int, eps: float) -> DataFrame:
                 held, at = [held[0].slice(LEAF)], at + 1
         if held and held[0].num_rows:
             yield leaf(held[0].combine_chunks())
-    leaves = common.cut(rows.mapInArrow(pack, "part int, at long, lo array<double>, hi array<double>, ids binary, weights binary, vectors binary"), "leaves")
+    leaves = common.cut(rows.mapInArrow(common.tidy(pack), "part int, at long, lo array<double>, hi array<double>, ids binary, weights binary, vectors binary"), "leaves")
     counts = leaves.groupBy("part").agg(F.count("*").alias("n"))
     places = counts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
     return leaves.join(places, "part").withColumn("leaf", F.col("first") + F.col("at")).drop("part", "first", "at")
@@ -176,7 +176,7 @@ def _join(classes: DataFrame, dim: int, cosine: float) -> DataFrame:
     right = pairs.join(body, F.col("b") == F.col("leaf")).select("a", "salt", "b", "ids", "weights", "vectors")
     parts = max(common.shards_for(classes), int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = left.unionByName(right).repartition(parts, "a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return dealt.mapInArrow(lambda b: _compare(b, dim, cosine), "id long, links long, low long")
+    return dealt.mapInArrow(common.tidy(lambda b: _compare(b, dim, cosine)), "id long, links long, low long")
 
 
 def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:

@@ -163,7 +163,7 @@ def _confirm(pairs: DataFrame, sized: DataFrame, width: int, pct: int, parts: in
                         linked_a.append(a)
                         linked_b.append(b)
                 yield pa.RecordBatch.from_arrays([pa.array(linked_a, pa.int64()), pa.array(linked_b, pa.int64())], names=["a", "b"])
-    return rows.mapInArrow(compare, "a long, b long")
+    return rows.mapInArrow(common.tidy(compare), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, pct: int = THRESHOLD_PCT) -> DataFrame:
@@ -273,4 +273,4 @@ def _confirm_blocks(large: DataFrame, texts: DataFrame, width: int, pct: int, pa
                 _, once = np.unique(comps[good], return_index=True)  # one link to each component is enough
                 linked.extend((int(min(doc, ids[g])), int(max(doc, ids[g]))) for g in good[once].tolist())
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in linked], pa.int64()) for k in (0, 1)], names=["a", "b"])
-    return dealt.mapInArrow(compare, "a long, b long")
+    return dealt.mapInArrow(common.tidy(compare), "a long, b long")

@@ -133,7 +133,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             each = np.maximum(slot[:, 4], 1)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(slot[:, 3] + item // each), pa.array(slot[:, 5] + item % each * length)], names=[*names, "sequence_id", "offset"])
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema.fields if f.name != "_rank")
-    return ranked.mapInArrow(place, f"{fields}, sequence_id long, offset long")
+    return ranked.mapInArrow(common.tidy(place), f"{fields}, sequence_id long, offset long")
 
 
 def sequences(packed: DataFrame) -> DataFrame:

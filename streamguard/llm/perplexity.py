@@ -152,7 +152,7 @@ def _count_partition(batches, everything: bool = False):
 
 def count_ngrams(docs: DataFrame, everything: bool = False) -> DataFrame:
     """(lang, gram, n) of every n-gram of the training documents, or of all documents."""
-    parts = common.plain_ids(docs, "text", "lang").mapInArrow(lambda b: _count_partition(b, everything), "lang string, gram string, n long")
+    parts = common.plain_ids(docs, "text", "lang").mapInArrow(common.tidy(lambda b: _count_partition(b, everything)), "lang string, gram string, n long")
     return parts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -247,8 +247,8 @@ def hash_arrays(model: DataFrame, shards: int) -> DataFrame:
             order = np.argsort(h)
             rows = [np.ascontiguousarray(x[order]).tobytes() for x in (h, whole.column("logp").to_numpy(), whole.column("backoff").to_numpy())]
             yield pa.RecordBatch.from_arrays([pa.array([whole.column("shard")[0].as_py()], pa.int32()), pa.array([len(h)], pa.int64()), *(pa.array([r], pa.binary()) for r in rows)], names=["shard", "n", "hashes", "logp", "backoff"])
-    rows = model.mapInArrow(hashed, "shard int, h long, logp float, backoff float").repartitionById(1 << width, F.col("shard"))
-    return rows.mapInArrow(packed, "shard int, n long, hashes binary, logp binary, backoff binary")
+    rows = model.mapInArrow(common.tidy(hashed), "shard int, h long, logp float, backoff float").repartitionById(1 << width, F.col("shard"))
+    return rows.mapInArrow(common.tidy(packed), "shard int, n long, hashes binary, logp binary, backoff binary")
 
 
 # --- scoring ----------------------------------------------------------------------------------------
@@ -328,7 +328,7 @@ def _score_by_broadcast(docs: DataFrame, arrays: DataFrame) -> DataFrame:
             sums = np.concatenate([[0.0], np.cumsum(total)])
             yield pa.RecordBatch.from_arrays([column for column in (common.column(table, "doc_id"), common.column(table, "lang"))] + [pa.array(got[c].astype(np.int64)) for c in _COUNTS] + [pa.array(counts), pa.array(sums[edges[1:]] - sums[edges[:-1]])],
                                              names=["doc_id", "lang", *_COUNTS, "n_scored", "logp"])
-    return common.plain_ids(docs, "doc_id", "text", "lang").mapInArrow(run, "doc_id long, lang string, " + ", ".join(f"{c} long" for c in _COUNTS) + ", n_scored long, logp double")
+    return common.plain_ids(docs, "doc_id", "text", "lang").mapInArrow(common.tidy(run), "doc_id long, lang string, " + ", ".join(f"{c} long" for c in _COUNTS) + ", n_scored long, logp double")
 
 
 def _features_only(docs: DataFrame) -> DataFrame:

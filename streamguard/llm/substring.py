@@ -203,8 +203,8 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, tag, spans): the maximal word intervals that each text loses, as start, end, start, end ..."""
     shards = common.shards_for(docs)
     blocks = common.map_chunks(common.plain_ids(docs, "doc_id", "text"), lambda t: _emit(t, width, shards), _BLOCK, limit=CHUNK_BYTES)
-    dealt = blocks.repartitionById(shards, F.col("shard")).mapInArrow(lambda b: _judge(b, width, shards), "target int, packed binary")
-    return dealt.repartitionById(shards, F.col("target")).mapInArrow(_gather, "doc_id long, tag long, spans array<long>")
+    dealt = blocks.repartitionById(shards, F.col("shard")).mapInArrow(common.tidy(lambda b: _judge(b, width, shards)), "target int, packed binary")
+    return dealt.repartitionById(shards, F.col("target")).mapInArrow(common.tidy(_gather), "doc_id long, tag long, spans array<long>")
 
 
 def _tagged(batches):
@@ -238,8 +238,8 @@ def deduplicate(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     from .bloom import might_contain
     spans = common.cut(repeated_spans(docs, width), "spans")
     rows = might_contain(common.plain_ids(docs, "doc_id", "text").where(F.col("doc_id").isNotNull()), "doc_id", spans.select("doc_id"))
-    texts = rows.mapInArrow(_tagged, "doc_id long, tag long, z binary").join(spans, ["doc_id", "tag"])
-    return common.cut(texts.mapInArrow(_strip, "doc_id long, tag long, n_removed long, kept_text string"), "stripped").dropDuplicates(["doc_id", "tag"])
+    texts = rows.mapInArrow(common.tidy(_tagged), "doc_id long, tag long, z binary").join(spans, ["doc_id", "tag"])
+    return common.cut(texts.mapInArrow(common.tidy(_strip), "doc_id long, tag long, n_removed long, kept_text string"), "stripped").dropDuplicates(["doc_id", "tag"])
 
 
 def _whole(table: pa.Table):

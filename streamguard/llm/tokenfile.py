@@ -41,7 +41,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, cuts: str = "word")
                                               pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.view(np.int32)))], names=["part", "row", "doc_id", "n_tokens", "before", "ids"])
             row, before = row + n, before + int(bounds[-1])
     ordered = common.plain_ids(docs, "doc_id", "text").repartitionByRange(common.shards_for(docs), "doc_id").sortWithinPartitions("doc_id")
-    (ordered.mapInArrow(run, "part int, row long, doc_id long, n_tokens long, before long, ids array<int>").write
+    (ordered.mapInArrow(common.tidy(run), "part int, row long, doc_id long, n_tokens long, before long, ids array<int>").write
      .option("compression", "zstd").option("parquet.writer.version", "v2")
      .option("parquet.block.size", str(ROW_GROUP_BYTES)).option("parquet.page.size", str(PAGE_BYTES)).option("parquet.page.row.count.limit", str(PAGE_ROWS))
      .option("parquet.enable.dictionary", "true").option("parquet.enable.dictionary#doc_id", "false").option("parquet.enable.dictionary#before", "false").option("parquet.enable.dictionary#row", "false")
@@ -81,5 +81,5 @@ def round_trip(docs: DataFrame, tokenizer: str, cuts: str = "word") -> DataFrame
     spark = docs.sparkSession
     path = common.new_path(spark, "tokens")
     write_tokens(docs, path, tokenizer, cuts)
-    sums = read_tokens(spark, path).drop("doc_id").mapInArrow(_crc, "part int, row long, ids_crc32 long")
+    sums = read_tokens(spark, path).drop("doc_id").mapInArrow(common.tidy(_crc), "part int, row long, ids_crc32 long")
     return read_index(spark, path).join(sums, ["part", "row"]).select("doc_id", "start", "n_tokens", "ids_crc32")

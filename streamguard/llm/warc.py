@@ -88,7 +88,7 @@ def write_archives(pages: DataFrame, path: str, min_payload: int = 0) -> None:
         for b in batches:
             out = [member(record(p, u, h.encode(), r))[:-1] for p, u, h, r in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "html", "first")), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
-    rows.mapInArrow(write, "value binary").select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\x00").text(path)
+    rows.mapInArrow(common.tidy(write), "value binary").select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\x00").text(path)
 
 
 def read_members(pieces: Iterator[bytes]) -> Iterator[bytes]:
@@ -151,7 +151,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], k) for n, k in zip(names, kinds, strict=False)], names=names)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
-    return files.mapInArrow(read, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + (", payload binary" if payloads else ""))
+    return files.mapInArrow(common.tidy(read), "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + (", payload binary" if payloads else ""))
 
 
 def round_trip(pages: DataFrame, min_payload: int = 0) -> DataFrame:
