@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-
 from .wordhash import U, mix
 
 BITS = 1 << 24
