@@ -87,7 +87,8 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     dirs = judged.where(F.col("dir").isNotNull()).select("dir").distinct()
     steps = F.split("dir", "/")
     above = dirs.select("dir", F.explode(F.sequence(F.lit(0), F.size(steps))).alias("depth")).withColumn("above", F.when(F.col("depth") == 0, F.lit("")).otherwise(F.array_join(F.slice(steps, 1, F.col("depth")), "/")))
-    nearest = above.join(speaks, "above").groupBy("dir").agg(F.max_by(F.struct("theirs", "above"), "depth").alias("got"))
+    # read back, so that both sides of the join are plain and Spark can split a hot directory
+    nearest = common.cut(above.join(speaks, "above").groupBy("dir").agg(F.max_by(F.struct("theirs", "above"), "depth").alias("got")), "nearest")
     out = judged.join(nearest, "dir", "left")
     taken = F.col("own").isNull() & F.col("got").isNotNull()
     return out.select("key", "path", F.coalesce("own", F.col("got.theirs")).alias("licence"), "cosine",
