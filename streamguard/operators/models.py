@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
+from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans, KMeansModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -148,11 +148,25 @@ def pca_latent(train: DataFrame, df: DataFrame, features: Sequence[str], k: int
 # ------------------------------------------------------------------ B: binary detectors
 
 
-def cluster_model(train_v: DataFrame, kind: str, k: int, max_iter: int = 20) -> Callable[[DataFrame], DataFrame]:
-    """Fit once on ``train_v``; the result adds ``cluster`` to any frame with ``features``."""
+def kmeans_restarts(train_v: DataFrame, k: int, max_iter: int, restarts: int) -> KMeansModel:
+    """K-means from ``restarts`` seeds; the lowest cost (to 9 digits, then the first seed) is kept."""
+    data = train_v.persist()
+    try:
+        fits = [KMeans(k=k, seed=SEED + i, maxIter=max_iter, featuresCol="features", predictionCol="cluster").fit(data)
+                for i in range(restarts)]
+    finally:
+        data.unpersist()
+    # equal clusterings found from two seeds differ in the last bits of their cost
+    return min(fits, key=lambda m: float(f"{m.summary.trainingCost:.8e}"))
+
+
+def cluster_model(train_v: DataFrame, kind: str, k: int, max_iter: int = 20,
+                  restarts: int = 1) -> Callable[[DataFrame], DataFrame]:
+    """Fit on ``train_v`` (K-means: from ``restarts`` seeds); the result adds ``cluster`` to any frame with ``features``."""
     if kind == "kmeans":
-        est = KMeans(k=k, seed=SEED, maxIter=max_iter, featuresCol="features", predictionCol="cluster")
-    elif kind == "gmm":
+        model = kmeans_restarts(train_v, k, max_iter, restarts)
+        return model.transform
+    if kind == "gmm":
         est = GaussianMixture(k=k, seed=SEED, maxIter=max_iter, featuresCol="features", predictionCol="cluster",
                               probabilityCol="_prob")
     elif kind == "bisecting":
@@ -163,8 +177,9 @@ def cluster_model(train_v: DataFrame, kind: str, k: int, max_iter: int = 20) ->
     return lambda df: model.transform(df).drop("_prob")
 
 
-def fit_predict_clusters(train_v: DataFrame, test_v: DataFrame, kind: str, k: int, max_iter: int = 20) -> DataFrame:
-    return cluster_model(train_v, kind, k, max_iter)(test_v)
+def fit_predict_clusters(train_v: DataFrame, test_v: DataFrame, kind: str, k: int, max_iter: int = 20,
+                         restarts: int = 1) -> DataFrame:
+    return cluster_model(train_v, kind, k, max_iter, restarts)(test_v)
 
 
 def isolation_forest(train: DataFrame, test: DataFrame, features: Sequence[str], contamination: float,

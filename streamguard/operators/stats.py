@@ -434,6 +434,14 @@ def histogram(df: DataFrame, value: str, groups: Sequence[str], bins: int = HIST
     return out.drop("_all") if whole else out
 
 
+def histograms(df: DataFrame, features: Sequence[str], groups: Sequence[str], bins: int = HIST_BINS,
+               log_above: float | None = None) -> DataFrame:
+    """``histogram`` of every feature, as (feature, groups, bin, n, lo, hi); rows meet their bins before the shuffle."""
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), dbl(f).alias("_v")) for f in features])
+    long = df.select(*groups, F.inline(pairs)).filter(F.col("_v").isNotNull())
+    return histogram(long, "_v", ["feature", *groups], bins, log_above)
+
+
 def gap_hist(df: DataFrame, by_label: bool = False) -> DataFrame:
     """Gaps in each attack type's time order (per label if asked), below the 99 % quantile, 50 bins."""
     keys = ["attack_type", "attack"] if by_label else ["attack_type"]
@@ -453,12 +461,25 @@ def interval_vs_ttl(df: DataFrame) -> DataFrame:
     return out.dropna(subset=["actual_interval", "expected_interval", "attack"])
 
 
-def event_timeline(df: DataFrame) -> DataFrame:
-    """Per attack type in time order: messages, state changes (first row counts), attacks, both."""
+def _state_changes(df: DataFrame) -> tuple[DataFrame, Column]:
+    """Rows with the state before them in their attack type's time order, and whether it changed (first row: yes)."""
     s = stream.segmented(df, ["attack_type"], "time_s")
     order = [F.col("time_s").asc_nulls_last(), F.col("packet_id")]
     s = stream.windowed(s, ["attack_type"], order, _stream_build_lag("st_num", "_prev_st"), 1)
-    ev = F.coalesce(F.col("st_num") != F.col("_prev_st"), F.lit(True))
+    return s, F.coalesce(F.col("st_num") != F.col("_prev_st"), F.lit(True))
+
+
+def event_messages(df: DataFrame) -> DataFrame:
+    """Class of every message on the timeline: heartbeat, event, attack or event_attack."""
+    s, ev = _state_changes(df)
+    hit = F.col("attack") == 1
+    kind = (F.when(ev & hit, "event_attack").when(hit, "attack").when(ev, "event").otherwise("heartbeat"))
+    return s.select("packet_id", "attack_type", kind.alias("kind"))
+
+
+def event_timeline(df: DataFrame) -> DataFrame:
+    """Per attack type in time order: messages, state changes (first row counts), attacks, both."""
+    s, ev = _state_changes(df)
     return s.groupBy("attack_type").agg(
         F.count(F.lit(1)).alias("total_msgs"), F.count_if(ev).alias("total_events"),
         F.count_if(F.col("attack") == 1).alias("total_attacks"),

@@ -453,6 +453,33 @@ def feature_hist(spark, sf):
     return ST.histogram(d, "byte_rate", ["attack"], log_above=ST.LOG_BINS_ABOVE)
 
 
+@query("gap_hist_by_label", "A19", O.sql(
+    "SELECT attack_type, CAST(attack AS BIGINT) AS attack, CASE WHEN hi > lo THEN CAST(least(floor((gap - lo) / "
+    "(hi - lo) * 50), 49) AS BIGINT) ELSE 0 END AS bin, COUNT(*) AS n, " + O.rx("min(lo)") + " AS lo, " + O.rx("min(hi)")
+    + " AS hi FROM (SELECT *, min(gap) OVER k AS lo, max(gap) OVER k AS hi FROM gq WHERE gap < q "
+    "WINDOW k AS (PARTITION BY attack_type, attack)) GROUP BY ALL",
+    "gp AS (SELECT attack_type, attack, time_s - lag(time_s) OVER (PARTITION BY attack_type, attack ORDER BY time_s "
+    "NULLS LAST, packet_id) AS gap FROM typed WHERE split = 'train'), gq AS (SELECT *, quantile_cont(gap, 0.99) OVER "
+    "(PARTITION BY attack_type, attack) AS q FROM gp WHERE gap IS NOT NULL)"))
+def gap_hist_by_label(spark, sf):
+    """As gap_hist, for the messages of each label apart."""
+    return ST.gap_hist(eda(spark, sf), by_label=True)
+
+
+@query("feature_hists", "A20", O.sql(
+    "SELECT feature, CAST(attack AS BIGINT) AS attack, CASE WHEN hi > lo THEN CAST(least(floor((x - lo) / (hi - lo) * 50), "
+    "49) AS BIGINT) ELSE 0 END AS bin, COUNT(*) AS n, " + O.rx("min(lo)") + " AS lo, " + O.rx("min(hi)")
+    + " AS hi FROM (SELECT *, min(x) OVER k AS lo, max(x) OVER k AS hi FROM (SELECT feature, attack, CASE WHEN "
+    "max(v) OVER (PARTITION BY feature, attack) > 1000 THEN (CASE WHEN v > 0 THEN log10(v) END) ELSE v END AS x FROM lv) "
+    "WHERE x IS NOT NULL WINDOW k AS (PARTITION BY feature, attack)) GROUP BY ALL",
+    "lv AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, attack, CAST({c} AS DOUBLE) AS v FROM features "
+                                   f"WHERE split = 'train' AND {c} IS NOT NULL" for c in schema.CORE_NUMERIC) + ")",
+    full=True))
+def feature_hists(spark, sf):
+    """50-bin histogram of every core feature by label, log10 bins when the maximum exceeds 1000."""
+    return ST.histograms(train_full(spark, sf), list(schema.CORE_NUMERIC), ["attack"], log_above=ST.LOG_BINS_ABOVE)
+
+
 @query("interval_vs_ttl", "A21", O.sql(
     "SELECT packet_id, CAST(attack AS BIGINT) AS attack, " + O.r("actual", "actual_interval") + ", "
     + O.r("ttl_ms / 2000.0", "expected_interval")
@@ -473,6 +500,15 @@ def event_timeline(spark, sf):
     return ST.event_timeline(eda(spark, sf))
 
 
+@query("event_messages", "A22", O.sql(
+    "SELECT packet_id, attack_type, CASE WHEN ev AND attack = 1 THEN 'event_attack' WHEN attack = 1 THEN 'attack' "
+    "WHEN ev THEN 'event' ELSE 'heartbeat' END AS kind FROM (SELECT *, coalesce(st_num <> lag(st_num) OVER "
+    "(PARTITION BY attack_type ORDER BY time_s NULLS LAST, packet_id), true) AS ev FROM typed WHERE split = 'train')"))
+def event_messages(spark, sf):
+    """Class of every message on its attack type's timeline."""
+    return ST.event_messages(eda(spark, sf))
+
+
 @query("state_evolution", "A23", O.sql(
     "SELECT attack_type, msg_index, st_num FROM (SELECT attack_type, st_num, ROW_NUMBER() OVER "
     "(PARTITION BY attack_type ORDER BY packet_id) - 1 AS msg_index FROM typed WHERE split = 'train') "

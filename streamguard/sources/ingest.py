@@ -22,9 +22,21 @@ def read_capture(spark: SparkSession, path: str, attack_type: str, split: str) -
     return df.select(*keep, F.lit(attack_type).alias("attack_type"), F.lit(split).alias("split"))
 
 
+#: Message numbers restart in every capture; the i-th file's start at i times this.
+FILE_IDS = 1 << 40
+#: Rows without a number are numbered from here, beyond any file's.
+FREE_IDS = 1 << 62
+
+
 def load_captures(spark: SparkSession, files: Mapping[tuple[str, str], str]) -> DataFrame:
-    """S3 reader part: union of every (attack_type, split) -> path capture."""
+    """S3 reader part: union of every (attack_type, split) -> path capture.
+
+    ``packet_id`` is unique over all files: their numbers are moved apart in
+    the order of ``files``, so the same mapping always gives the same ids.
+    """
     parts = [read_capture(spark, path, a, s) for (a, s), path in files.items()]
+    parts = [p.withColumn("packet_id", F.col("packet_id").try_cast("long") + F.lit(i * FILE_IDS)) if "packet_id" in p.columns else p
+             for i, p in enumerate(parts)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
@@ -48,7 +60,7 @@ def conform(df: DataFrame) -> DataFrame:
         else:
             cols.append(F.lit(None).cast(typ).alias(name))
     if "packet_id" in df.columns:
-        cols[0] = F.coalesce(cols[0], F.monotonically_increasing_id()).alias("packet_id")
+        cols[0] = F.coalesce(cols[0], F.monotonically_increasing_id() + F.lit(FREE_IDS)).alias("packet_id")
     else:
         cols[0] = F.monotonically_increasing_id().alias("packet_id")
     extra = [c for c in df.columns if c == stream.SEG]

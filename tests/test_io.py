@@ -30,6 +30,20 @@ def test_capture_csv_round_trip(spark):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
+def test_ids_are_unique_over_files(spark):
+    root = tempfile.mkdtemp(prefix="sg-io-", dir="/tmp")
+    back = {v: k for k, v in schema.CAPTURE_COLUMNS.items()}
+    files = {}
+    for a in ("replay", "masquerade"):
+        path = os.path.join(root, a)
+        rows = spark.createDataFrame([("1", "x"), ("2", "y"), (None, "z")], "packet_id string, gocb_ref string")
+        write_table(rows.coalesce(1).select(F.col("packet_id").alias(back["packet_id"]), F.col("gocb_ref").alias(back.get("gocb_ref", "gocbRef"))), path, fmt="csv")
+        files[(a, "train")] = path
+    got = ingest.conform(ingest.load_captures(spark, files)).select("attack_type", "packet_id").collect()
+    assert len({r.packet_id for r in got}) == 6 and all(r.packet_id is not None for r in got)
+    assert sorted(r.packet_id for r in got if r.attack_type == "replay")[:2] == [1, 2]
+
+
 def test_used_fields_and_mode_lists(spark):
     t = ingest.typed_packets(packets(spark, SF_SMALL))
     fields = ingest.used_fields([ingest.project_mode(t, "core"), ingest.project_mode(t, "full", advanced=True)])

@@ -49,6 +49,13 @@ def test_pca_loadings_have_unit_norm(spark):
     assert abs(float((imp["pca_importance"] ** 2).sum()) - 1.0) < 1e-9
 
 
+def test_kmeans_keeps_the_cheapest_restart(spark):
+    tr = context.full(spark, SF_SMALL).filter(F.col("split") == "train")
+    v = MD.Matrix(tr, schema.UCAD_FEATURES, strict=True, always_keep=["boolean_1"]).vectors(tr).persist()
+    costs = [MD.kmeans_restarts(v, 5, 20, n).summary.trainingCost for n in (1, 4)]
+    assert costs[1] <= costs[0] * (1 + 1e-8)
+
+
 def test_kmeans_is_seeded(spark):
     tr = context.full(spark, SF_SMALL).filter(F.col("split") == "train")
     mx = MD.Matrix(tr, schema.UCAD_FEATURES, strict=True, always_keep=["boolean_1"])
