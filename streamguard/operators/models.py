@@ -133,7 +133,8 @@ def latent_model(train: DataFrame, features: Sequence[str], k: int = LATENT_DIM,
         xs = [F.col(c) for c in mx.kept]
         z = z.select(*id_cols, *[F.col(c) for c in z.columns if c not in id_cols],
                      *[e.alias(n) for n, e in zip(codes, linear_map(xs, pc), strict=True)])
-        rec = linear_map([F.col(n) for n in codes], pc.T)
+        # from the inputs by one product: codes put into the sum would be written out once for every feature
+        rec = linear_map(xs, pc @ pc.T)
         return z.withColumn("recon_error", sum(((x - r) ** 2 for x, r in zip(xs, rec)), F.lit(0.0)) / len(xs))
     return apply, codes
 
