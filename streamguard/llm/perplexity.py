@@ -19,7 +19,8 @@ of documents instead (``_score_by_join``), with the same results.
 
 Defined results: a null text has no words; a text without words has no
 perplexity (null) and fails the base rules; a null ``lang`` is a language of
-its own; repeated rows are scored each; an empty table gives an empty result.
+its own; a language without training documents has the uniform model over all
+code points, so only the base rules decide; repeated rows are scored each; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -49,6 +50,8 @@ LEAST_SPREAD = 0.02
 #: Grid of log perplexity on which medians are taken exactly.
 GRID = 2000.0
 BROADCAST_BYTES = 96 << 20
+#: Code points of Unicode: the alphabet of a language without training documents.
+CODE_POINTS = 0x110000
 
 _STEP = U(0x100000001B3)
 _SYMBOL = np.zeros(256, bool)
@@ -212,7 +215,8 @@ def train(docs: DataFrame, order: int = ORDER) -> DataFrame:
     model = out[0]
     for x in out[1:]:
         model = model.unionByName(x)
-    floor = size.select("lang", F.lit(0).alias("k"), F.lit("").alias("gram"), F.log(1.0 / F.col("v")).alias("logp"), F.lit(0.0).alias("backoff"))
+    langs = docs.select(F.coalesce("lang", F.lit(_NO_LANG)).alias("lang")).distinct()
+    floor = langs.join(size, "lang", "left").withColumn("v", F.coalesce("v", F.lit(float(CODE_POINTS)))).select("lang", F.lit(0).alias("k"), F.lit("").alias("gram"), F.log(1.0 / F.col("v")).alias("logp"), F.lit(0.0).alias("backoff"))
     return common.cut(model.unionByName(floor), "model")
 
 

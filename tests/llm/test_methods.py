@@ -77,6 +77,19 @@ def test_scores_by_join_equal_scores_by_broadcast(spark):
         assert abs((x.logp or 0) - (y.logp or 0)) <= 1e-6 * abs(x.logp or 1)
 
 
+def test_untrained_language_scores_alike_by_join_and_broadcast(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    prose = [(i, " ".join(rng.choices(words, k=60)), "en") for i in range(6)]
+    code = [(10 + i, " ".join(f"{w} |" for w in rng.choices(words, k=60)), lang) for i, lang in enumerate(("c", "c", "c", None))]
+    docs = common.cut(spark.createDataFrame(prose + code, "doc_id long, text string, lang string"))
+    a, b = ({r.doc_id: r for r in perplexity.quality(docs, limit).collect()} for limit in (1 << 40, 0))
+    for i, text, _ in code:
+        assert not a[i].base_failed and a[i].kept and b[i].kept
+        assert a[i].perplexity == pytest.approx(perplexity.CODE_POINTS, rel=1e-5) and b[i].perplexity == pytest.approx(a[i].perplexity, rel=1e-5), text
+    assert [a[i].kept for i in range(6)] == [b[i].kept for i in range(6)]
+
+
 def test_model_is_a_distribution(spark):
     rng = random.Random(3)
     docs = [(i, " ".join("".join(rng.choices("abc", k=rng.randrange(1, 6))) for _ in range(60)), "en") for i in range(4)]
