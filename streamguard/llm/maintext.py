@@ -13,7 +13,7 @@ blocks of a normal page are left for augmenting paths.
 
 Defined results: a null or empty html, and a page without content blocks,
 give an empty text; repeated rows are extracted each; unclosed tags end with
-the page; an empty table gives an empty result.
+their parent; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +29,13 @@ from . import common
 
 # HTML element names by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style noscript template textarea iframe object svg math title select button canvas audio video".split())
+#: Their content is no markup: it goes up to the end tag, or to the end of the page.
+RAW = frozenset("script style textarea title".split())
+#: Elements whose text the page does not show as text; they end with their parent, and one that no end tag follows is empty (a foreign one ends at the next block).
+SKIPPED = frozenset("noscript template iframe object svg annotation annotation-xml select button canvas audio video".split())
+#: Elements of other languages, in which a tag may close itself; a block ends them unless it stands in one of INSETS.
+FOREIGN = frozenset(("svg", "math"))
+INSETS = frozenset("foreignobject desc annotation-xml".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CLOSES_P = BLOCK - {"html", "head", "body", "td", "th", "tr", "tbody", "thead", "tfoot"}
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
@@ -46,18 +52,22 @@ LENGTHS = ((40, 60), (120, 120), (240, 120))
 TIE, SIBLING = 200, 60
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
-_ATTR = re.compile(r"""(class|id|hidden|aria-hidden|style|role)\b\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_SPEAKING = frozenset(("class", "id", "hidden", "aria-hidden", "style", "role"))
+_SELF_CLOSED = re.compile(r"""(?:^|[\s"']|(?:^|\s)[^\s"'=]+)/\Z""")
 _WORDS = re.compile(r"[a-z]+")
 _HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "depth", "mark", "link")
+    __slots__ = ("tag", "parent", "depth", "mark", "link", "skipped", "foreign")
 
     def __init__(self, tag: str, parent, attributes: str = ""):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
         self.link = tag == "a" or bool(parent and parent.link)
+        self.skipped = tag in SKIPPED or bool(parent and parent.skipped)
+        self.foreign = tag in FOREIGN or bool(parent and parent.foreign and tag not in INSETS)
         self.mark = self._marked(attributes)
 
     def _marked(self, attributes: str) -> int:
@@ -67,6 +77,8 @@ class _Element:
         if attributes:
             for name, value in _ATTR.findall(attributes):
                 name, value = name.lower(), value.strip("\"'").lower()
+                if name not in _SPEAKING:
+                    continue
                 if name in ("class", "id", "role"):
                     words.update(_WORDS.findall(value))
                 elif name == "style":
@@ -114,12 +126,20 @@ def blocks(page: str) -> list[Block]:
 
     def add(text: str) -> None:
         nonlocal linked
-        if text:
+        if text and not here.skipped:
             pieces.append(text)
             if here.link:
                 linked += len(text)
 
     end = len(page)
+    last: dict[str, int] = {}
+
+    def ends_after(name: str, at: int) -> bool:
+        """Whether an end tag of this name follows (the last one of each name is looked up once)."""
+        if name not in last:
+            last[name] = max((m.start() for m in re.finditer(rf"</{re.escape(name)}(?=[\s/>])", page, re.I)), default=-1)
+        return last[name] >= at
+
     while pos < end:
         found = _TAG.search(page, pos)
         if not found:
@@ -142,7 +162,9 @@ def blocks(page: str) -> list[Block]:
             if up and up.parent:
                 here = up.parent
             continue
-        if name in SKIPPED:
+        if (name in FOREIGN or here.foreign) and _SELF_CLOSED.search(found.group(3)):
+            continue
+        if name in RAW:
             stop = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, pos)
             pos = stop.end() if stop else end
             continue
@@ -152,11 +174,20 @@ def blocks(page: str) -> list[Block]:
             elif name in ("br", "wbr"):
                 pieces.append(" " if name == "br" else "")
             continue
+        if name in SKIPPED - FOREIGN and not ends_after(name, pos):
+            continue
+        if name == "button":  # buttons do not nest
+            up = here
+            while up.parent and up.tag != "button" and up.tag not in BLOCK:
+                up = up.parent
+            here = up.parent if up.tag == "button" else here
         if name in BLOCK:
+            while here.foreign:
+                here = here.parent
             close()
             ends = ({"p"} if name in CLOSES_P else set()) | SAME.get(name, set())
             up = here
-            while ends and up.parent and (up.tag not in BLOCK or up.tag in ends):
+            while ends and up.parent and up.tag not in SKIPPED and (up.tag not in BLOCK or up.tag in ends):
                 if up.tag in ends:
                     here = up.parent
                 up = up.parent

@@ -215,6 +215,25 @@ def test_main_text_of_a_page():
     assert maintext.main_text("") == ""
 
 
+@pytest.mark.parametrize("inside", ["<svg class='i'/>", "<svg width=1 />", "<svg/>", "<math/>", "<button>", "<video src=x>", "<audio src='x'>", "<canvas>", "<object data=x>", "<select>", "<svg><path d='M0'><title/>",
+                                    "<video><p>No video here.</p></video>", "<template>a<template>b</template>c</template>", "<button>Buy</button>", "<svg><g/><text>icon</text></svg>", "<script>var a = '<p>';</script>"])
+def test_no_text_is_lost_behind_an_element(inside):
+    long = "This sentence belongs to the article and is long enough to be kept, whatever stands before it."
+    assert maintext.main_text(f"<body><article><p>{long}</p>{inside}<p>{long}</p><p>The end.</p></article></body>") == f"{long}\n{long}\nThe end."
+
+
+def test_formulas_stay_in_the_text():
+    page = "<article><p>The energy is <math><mi>E</mi><mo>=</mo><mi>m</mi><semantics><annotation encoding='application/x-tex'>tex</annotation></semantics></math> as everybody knows, and it is kept.</p></article>"
+    assert maintext.main_text(page) == "The energy is E=m as everybody knows, and it is kept."
+
+
+@pytest.mark.parametrize("attributes,kept", [('data-hidden="false"', True), ('title="A hidden gem"', True), ('aria-label="hidden costs"', True), ('data-role="header"', True), ("data-x='class=\"ad\"'", True),
+                                             ("hidden", False), ('HIDDEN=""', False), ('aria-hidden="true"', False), ("aria-hidden=false", True), ('class="x ad"', False), ('data-a=b style="display: none"', False)])
+def test_attributes_are_read_name_by_name(attributes, kept):
+    long = "This sentence belongs to the article and is long enough to be kept, whatever stands before it."
+    assert maintext.main_text(f"<body><article {attributes}><p>{long}</p></article></body>") == (long if kept else "")
+
+
 def test_licences_inherit_from_the_nearest_directory(spark):
     from streamguard.llm.licences import scan
     apache, mit = "Licensed under the Apache License, Version 2.0.", "Released under the MIT License."
