@@ -2,14 +2,15 @@
 
 Every line of every whole text that names a licence term is a candidate
 header; its sparse TF-IDF vector is compared with the templates'.  Document
-frequencies of the templates' terms are counted over all documents; any other
-term weighs like one seen in a single document.  A file's own licence is the
+frequencies of all terms of candidate lines and templates are counted over all
+documents.  A file's own licence is the
 template of the best line at or above the threshold.  A licence file (by its
 name, or because at least half of its words lie in matching lines) also
 speaks for its directory, and a file without a licence of its own takes that
 of the nearest directory above it which has one.
 
-All joins are between candidate lines and tables bounded by the templates'
+All joins are between the terms of candidate lines and their frequencies (read
+back, so that Spark can split a hot term), with tables bounded by the templates'
 vocabulary, or between directories: each distinct directory is resolved once,
 and files then join their directory.
 
@@ -53,21 +54,20 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(path, licence, cosine, origin, inherited_from) for every row of (path, text, key); ``key`` identifies rows."""
     spark = files.sparkSession
     templates = spark.createDataFrame(list(TEMPLATES), "licence string, body string").withColumn("term", F.explode(_terms("body"))).groupBy("licence", "term").agg(F.count("*").alias("tf"))
-    vocabulary = [r.term for r in templates.select("term").distinct().orderBy("term").collect()]  # bounded by the templates
     mine = files.select("key", "path", F.coalesce("text", F.lit("")).alias("text"))
-    seen = mine.select(F.explode(F.array_intersect(_terms("text"), F.array(*[F.lit(v) for v in vocabulary]))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    lines = mine.select("key", F.posexplode(F.split("text", "\n")).alias("line", "body")).where(F.translate("body", _UPPER, _LOWER).rlike(CANDIDATE))
+    lines = common.cut(lines.select("key", "line", _terms("body").alias("terms")), "lines")
+    counts = common.cut(lines.select("key", "line", F.explode("terms").alias("term")).groupBy("key", "line", "term").agg(F.count("*").alias("tf")), "counts")
+
+    seen = mine.select(F.explode(F.array_distinct(_terms("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     n = files.count()
-    terms = spark.createDataFrame([(v,) for v in vocabulary], "term string").join(seen, "term", "left")
-    idf = common.cut(terms.select("term", F.log((1.0 + n) / (1.0 + F.coalesce("df", F.lit(0)))).alias("idf")), "idf")
-    unseen = F.log(F.lit((1.0 + n) / 2.0))
+    terms = counts.select("term").union(templates.select("term")).distinct()
+    idf = common.cut(terms.join(seen, "term", "left").select("term", F.log((1.0 + n) / (1.0 + F.coalesce("df", F.lit(0)))).alias("idf")), "idf")
 
-    goal = templates.join(F.broadcast(idf), "term").select("licence", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    goal = templates.join(idf, "term").select("licence", "term", (F.col("tf") * F.col("idf")).alias("w"))
     goal = goal.join(goal.groupBy("licence").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")), "licence").select("licence", "term", F.try_divide("w", "norm").alias("w"))
     goal = common.cut(goal, "templates")  # as many rows as the templates have terms: bounded, so it may be broadcast
-    lines = mine.select("key", F.posexplode(F.split("text", "\n")).alias("line", "body")).where(F.translate("body", _UPPER, _LOWER).rlike(CANDIDATE))
-    lines = common.cut(lines.select("key", "line", _terms("body").alias("terms")), "lines")
-    counts = lines.select("key", "line", F.explode("terms").alias("term")).groupBy("key", "line", "term").agg(F.count("*").alias("tf"))
-    weights = counts.join(F.broadcast(idf), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", unseen))
+    weights = common.cut(counts.join(idf, "term").select("key", "line", "term", (F.col("tf") * F.col("idf")).alias("w")), "weights")
     norms = weights.groupBy("key", "line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     dots = weights.join(F.broadcast(goal.select("licence", "term", F.col("w").alias("g"))), "term").groupBy("key", "line", "licence").agg(F.sum(F.col("w") * F.col("g")).alias("dot"))
     close = dots.join(norms, ["key", "line"]).select("key", "line", "licence", F.round(F.try_divide("dot", "norm"), 6).alias("cosine")).where(F.col("cosine") >= threshold)

@@ -241,3 +241,21 @@ def test_licences_inherit_from_the_nearest_directory(spark):
     got = {r.key: (r.licence, r.origin, r.inherited_from) for r in scan(spark.createDataFrame(files, "key long, path string, text string")).collect()}
     assert got[3] == ("Apache-2.0", "directory", "lib") and got[4] == ("MIT", "directory", "") and got[5] == ("MIT", "header", None)
     assert got[6] == ("MIT", "directory", "") and got[7] == (None, "none", None) and got[2][0] == "Apache-2.0"
+
+
+def test_every_term_of_a_licence_line_weighs_by_its_documents(spark):
+    import math
+
+    from streamguard.llm.licences import TEMPLATES, scan
+    line, prose = "The photographs in this article are released under the MIT License.", "The photographs in this article are old, and the file is yours."
+    split = lambda t: re.findall("[a-z0-9]+", t.lower())
+    got = []
+    for n in (40, 400):
+        texts = [line] * (n // 40) + [prose] * (n // 2) + ["plain words here"] * (n - n // 40 - n // 2)
+        idf = lambda t: math.log((1 + n) / (1 + sum(t in split(x) for x in texts)))  # noqa: B023,E731
+        own, goal = ({t: split(x).count(t) * idf(t) for t in split(x)} for x in (line, dict(TEMPLATES)["MIT"]))
+        want = sum(w * goal.get(t, 0) for t, w in own.items()) / math.hypot(*own.values()) / math.hypot(*goal.values())
+        rows = scan(spark.createDataFrame([(i, f"d{i}/a", t) for i, t in enumerate(texts)], "key long, path string, text string"), 0.5).where("key = 0").collect()
+        assert rows[0].licence == "MIT" and abs(rows[0].cosine - want) < 2e-6
+        got.append(rows[0].cosine)
+    assert got[1] > 0.9
