@@ -193,3 +193,47 @@ def op6_licences(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
     return scan(docs.select(F.col("doc_id").alias("key"), path.alias("path"), "text")).withColumnRenamed("key", "doc_id")
+
+
+@query("op11_ring")
+def op11_ring(spark, sf_dir):
+    """All documents in 40 shards of equally many rows, by a ring with bounded loads."""
+    from .sharding import report
+    return report(table(spark, sf_dir, "documents"))
+
+
+@query("op12_hardneg", oracle="""
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(256 * x) AS BIGINT)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r, a.vec_id AS anchor_id, b.r AS br, b.vec_id AS other_id, a.label = b.label AS same,
+  CAST(list_inner_product(CAST(a.e AS DOUBLE[]), CAST(b.e AS DOUBLE[])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)),
+p AS (SELECT r, anchor_id, other_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY r ORDER BY score DESC, other_id) AS positive_rank FROM s WHERE same),
+n AS (SELECT p.anchor_id, positive_id, positive_rank, other_id AS negative_id, positive_score, s.score AS negative_score,
+  row_number() OVER (PARTITION BY p.r, positive_rank ORDER BY s.score DESC, other_id) AS rank
+  FROM p JOIN s ON s.r = p.r AND NOT same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score WHERE positive_rank <= 5)
+SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score, CAST(positive_rank AS INT) AS positive_rank FROM n WHERE rank <= 3
+""")
+def op12_hardneg(spark, sf_dir):
+    """Hard negatives of every anchor and positive, over all embeddings."""
+    from .hardneg import mine
+    return mine(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_lexical", oracle="""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+d AS (SELECT r, doc_id, ws, CAST(len(ws) AS BIGINT) AS n FROM t WHERE len(ws) > 0),
+c AS (SELECT CAST(count(*) AS BIGINT) AS nn, CAST(sum(n) AS BIGINT) AS l FROM d),
+i AS (SELECT row_number() OVER () AS k, item_id, list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS terms FROM benchmark),
+q AS (SELECT k, item_id, unnest(terms) AS term FROM i),
+f AS (SELECT r, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(ws) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY 1, 2),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM f, c GROUP BY term, nn),
+p AS (SELECT f.r, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * nn) // l))) AS part FROM f JOIN w USING (term) JOIN d ON d.r = f.r, c),
+s AS (SELECT k, item_id, r, CAST(sum(part) AS BIGINT) AS score FROM q JOIN p USING (term) GROUP BY 1, 2, 3)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (SELECT k, item_id, doc_id, score, row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id) AS rank FROM s JOIN d USING (r) WHERE score > 0) WHERE rank <= 50
+""")
+def op13_lexical(spark, sf_dir):
+    """The 50 best documents of every benchmark item, over all documents."""
+    from .lexrank import search
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
