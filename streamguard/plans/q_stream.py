@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import schema
 from ..functions import parsing as P
 from ..operators import features as FE
+from ..operators import stream
 from ..sources import ingest
 from . import context as ctx
 from . import oracles as O
@@ -26,6 +27,43 @@ def scan_packets(spark, sf):
     return ctx.typed(spark, sf).select(*_SCAN_COLS)
 
 
+_CAPTURED = ["attack_type", "split", "message_no", "gocb_ref", "time_s", "st_num", "sq_num", "ttl_ms", "length",
+             "data_length", "boolean_1", "bitstring_bitcount", "attack"]
+
+
+def _read_captures(spark, sf):
+    """The stand-in written as capture CSVs (``Length`` twice in the header) in this run's folder, and read back."""
+    import uuid
+
+    from ..session import cut_lineage, prepare
+    from ..sources.packets import packets
+    root = f"{prepare(spark).sparkContext.getCheckpointDir()}/captures-{uuid.uuid4().hex}"
+    rows = cut_lineage(packets(spark, sf).drop("_seg"))
+    stream.release()
+    files = ingest.write_captures(rows, root)
+    return ingest.load_captures(spark, files)
+
+
+@query("read_captures", "S1", O.sql(
+    "SELECT packet_id + CAST(o AS BIGINT) AS packet_id, t.attack_type, t.split, packet_id AS message_no, gocb_ref, "
+    + O.r("time_s", "time_s") + ", st_num, sq_num, ttl_ms, length, length AS data_length, boolean_1, bitstring_bitcount, "
+    "CAST(attack AS BIGINT) AS attack FROM typed t JOIN files f ON f.attack_type = t.attack_type AND f.split = t.split",
+    "files AS (SELECT attack_type, split, coalesce(SUM(MAX(packet_id) + 1) OVER (ORDER BY attack_type, split "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o FROM typed GROUP BY attack_type, split)"))
+def read_captures(spark, sf):
+    """Capture files by header position: both ``Length`` fields, ids by (file, message number), typed."""
+    rows = ingest.typed_packets(_read_captures(spark, sf)).withColumnRenamed(ingest.FILE_NO, "message_no")
+    return rows.select("packet_id", *_CAPTURED)
+
+
+@query("capture_lines", "S1", O.sql(
+    "SELECT attack_type, split, COUNT(*) AS n, CAST(0 AS BIGINT) AS broken, CAST(0 AS BIGINT) AS unnumbered "
+    "FROM typed GROUP BY attack_type, split"))
+def capture_lines(spark, sf):
+    """Per capture file: lines read, broken lines, lines without a message number."""
+    return ingest.broken_lines(_read_captures(spark, sf))
+
+
 @query("scan_project_mode", "S2", O.sql(
     "SELECT packet_id, attack_type, split, gocb_ref, ttl_ms, " + O.r("time_s", "time_s") +
     ", st_num, sq_num, length, boolean_raw, bit_string, CAST(attack AS BIGINT) AS attack, "

@@ -23,6 +23,7 @@ CAPTURE_COLUMNS = {
     "sqNum": "sq_num",
     "timeAllowedtoLive": "ttl_ms",
     "Length": "length",
+    "Length.1": "data_length",      # the header's second Length
     "Frame length on the wire": "frame_len",
     "Frame length stored into the capture file": "frame_len_stored",
     "boolean": "boolean_raw",
@@ -72,6 +73,9 @@ RAW_TYPES: dict[str, T.DataType] = {
     "value": T.DoubleType(),  # payload value carried by the packets stand-in
 }
 
+# Typed likewise, but only where the input has them.
+OPTIONAL_TYPES: dict[str, T.DataType] = {"data_length": T.LongType()}
+
 # Projection per mode (S2), engine names; `advanced` adds the graph fields.
 CORE_FIELDS = ["gocb_ref", "ttl_ms", "time_s", "t", "st_num", "sq_num", "length",
                "boolean_raw", "bit_string", "attack"]

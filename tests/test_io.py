@@ -44,6 +44,42 @@ def test_ids_are_unique_over_files(spark):
     assert sorted(r.packet_id for r in got if r.attack_type == "replay")[:2] == [1, 2]
 
 
+def _capture(lines):
+    path = tempfile.mkdtemp(prefix="sg-io-", dir="/tmp") + "/a.csv"
+    with open(path, "w") as f:
+        f.write("\n".join(lines) + "\n")
+    return path
+
+
+HEADER = '"No.","gocbRef","Length","stNum","Length","Info","Info"'
+
+
+def test_repeated_header_names_keep_their_places(spark):
+    path = _capture([HEADER, '1,a,150,7,151,x,y', '2,"b, c",160,8,,"say ""hi""",z'])
+    assert ingest.positional_header(spark, path) == ["No.", "gocbRef", "Length", "stNum", "Length.1", "Info", "Info.1"]
+    got = ingest.typed_packets(ingest.load_captures(spark, {("replay", "train"): path}))
+    rows = [(r.packet_id, r.gocb_ref, r.length, r.st_num, r.data_length) for r in got.orderBy("packet_id").collect()]
+    assert rows == [(1, "a", 150, 7, 151), (2, "b, c", 160, 8, None)]
+
+
+def test_broken_lines_are_kept_and_counted(spark):
+    path = _capture([HEADER, '1,a,150,7,151,x,y', '2,b,160', '3,c,170,9,171,x,y,z,w', ',d,180,10,181,x,y', 'four,e,1,2,3,x,y'])
+    loaded = ingest.load_captures(spark, {("replay", "train"): path, ("replay", "test"): _capture([HEADER])})
+    assert [tuple(r) for r in ingest.broken_lines(loaded).collect()] == [("replay", "train", 5, 2, 2)]
+    rows = {r.gocb_ref: (r.packet_id, r.length, r[ingest.BROKEN]) for r in ingest.conform(loaded).collect()}
+    assert rows["a"] == (1, 150, None) and rows["b"] == (2, 160, "2,b,160") and rows["c"][1] == 170 and rows["c"][2]
+    assert sorted(x[0] for x in rows.values()) == [1, 2, 3, 4, 5]
+
+
+def test_ids_of_many_captures_are_close(spark):
+    files = {("replay", "train"): _capture([HEADER, *[f"{i},a,1,1,1,x,y" for i in (3, 1, 2)]]),
+             ("replay", "test"): _capture([HEADER, "9,b,1,1,1,x,y", ",b,1,1,1,x,y"]),
+             ("injection", "train"): _capture([HEADER, "0,c,1,1,1,x,y", ",c,1,1,1,x,y"])}
+    got = ingest.load_captures(spark, files).select("packet_id", ingest.FILE_RANK, ingest.FILE_NO).collect()
+    assert sorted(tuple(r) for r in got if r[2] is not None) == [(1, 0, 1), (2, 0, 2), (3, 0, 3), (13, 1, 9), (14, 2, 0)]
+    assert sorted(tuple(r)[:2] for r in got if r[2] is None) == [(15, 1), (16, 2)]
+
+
 def test_used_fields_and_mode_lists(spark):
     t = ingest.typed_packets(packets(spark, SF_SMALL))
     fields = ingest.used_fields([ingest.project_mode(t, "core"), ingest.project_mode(t, "full", advanced=True)])
