@@ -33,7 +33,7 @@ def test_prefix_sums_match_window(spark):
 def test_position_is_row_number(spark):
     df = spark.range(0, 300).select((F.col("id") % 3).alias("k"), (F.col("id") * 7 % 300).cast("double").alias("t"),
                                     F.col("id"))
-    seg = stream.add_segment(df, "t", 10.0)
+    seg = stream.segmented(df, ["k"], "t", 7)
     got = stream.position(seg, ["k"], [F.col("t"), F.col("id")], "pos")
     w = Window.partitionBy("k").orderBy("t", "id")
     exp = df.withColumn("pos", F.row_number().over(w) - 1)
@@ -62,3 +62,97 @@ def test_constant_columns_are_exactly_constant(spark):
     assert kept == ["x"]
     z = ST.standardize(df, ST.moments(df, ["c"]), ["c"])
     assert {r[0] for r in z.select("c").distinct().collect()} == {0.0}
+
+
+def _sizes(df, keys=("k",)):
+    return {tuple(r)[:-1]: r["count"] for r in df.groupBy(*keys, stream.SEG).count().collect()}
+
+
+def _odd_times(spark):
+    """A burst, a heavy tail, two lumps far apart with an outlier, a hot value, a two-packet and a null-time device."""
+    rng = np.random.default_rng(3)
+    burst = np.concatenate([rng.uniform(0, 1e6, 300), rng.uniform(500, 500.001, 5000)])
+    tail = np.exp(rng.normal(0, 6, 4000))
+    lumps = np.concatenate([np.arange(2000.0), 2.0 ** 40 + np.arange(2000.0), [2.0 ** 62]])
+    hot = np.concatenate([rng.uniform(0, 10, 1500), np.full(3000, 4.0), np.full(700, 10.0)])
+    rows = [(k, float(v)) for k, x in (("burst", burst), ("tail", tail), ("lumps", lumps), ("hot", hot)) for v in x]
+    rows += [("two", 1.0), ("two", 2.0), ("none", None), ("none", None), (None, 5.0), *[(None, float(i)) for i in range(900)]]
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id long, k string, v double")
+
+
+def test_segments_hold_equal_numbers_of_rows(spark):
+    df = _odd_times(spark)
+    seg = stream.segmented(df, ["k"], "v", 100)
+    got = seg.collect()
+    assert sorted(r["id"] for r in got) == sorted(r["id"] for r in df.collect())
+    sizes = _sizes(seg)
+    values = {}
+    for r in got:
+        values.setdefault((r["k"], r[stream.SEG]), set()).add(r["v"])
+    assert all(n <= 200 or len(values[s]) == 1 for s, n in sizes.items())
+    assert len([s for s in sizes if s[0] == "two"]) == 1 and sizes[("none", stream.NULL_SEG)] == 2
+    for k in ("burst", "tail", "lumps", "hot", None):  # _seg grows with the value, and there are no crumbs
+        by = sorted((r["v"], r[stream.SEG]) for r in got if r["k"] == k)
+        assert [s for _, s in by] == sorted(s for _, s in by)
+        assert len({s for _, s in by}) <= 4 * len(by) / 100 + 4
+
+
+def test_few_segments_when_keys_are_small(spark):
+    seg = stream.segmented(_odd_times(spark), ["k"], "v", 10_000)
+    assert {s for _, s in _sizes(seg)} == {0, stream.NULL_SEG}
+
+
+def _lagged(d, w):
+    return d.withColumn("p1", F.lag("v", 1).over(w)).withColumn("p5", F.lag("id", 5).over(w)).withColumn(
+        "s3", F.sum("id").over(w.rowsBetween(-3, 0)))
+
+
+def test_windows_over_segments_equal_plain_ones(spark, monkeypatch):
+    """Edge rows windowed in blocks of segments with halo rows, segments of one row included."""
+    df = _odd_times(spark).filter("k in ('hot', 'tail', 'two')")
+    order = [F.col("v").asc_nulls_last(), F.col("id")]
+    want = sorted(map(tuple, _lagged(df, Window.partitionBy("k").orderBy(*order)).select("id", "p1", "p5", "s3").collect()))
+    for block in (1024, 5):
+        monkeypatch.setattr(stream, "EDGE_BLOCK", block)
+        seg = stream.segmented(df, ["k"], "v", 20)
+        got = stream.windowed(seg, ["k"], order, _lagged, 5)
+        assert sorted(map(tuple, got.select("id", "p1", "p5", "s3").collect())) == want
+        stream.release()
+
+
+def test_edge_blocks_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(stream, "EDGE_BLOCK", 8)
+    seg = stream.segmented(_odd_times(spark).filter("k = 'tail'"), ["k"], "v", 20)
+    w = Window.partitionBy("k", stream.SEG).orderBy("v", "id")
+    m = seg.withColumn(stream.LP, F.row_number().over(w)).withColumn(stream.CNT, F.count("*").over(Window.partitionBy("k", stream.SEG)))
+    edge = m.filter((F.col(stream.LP) <= 3) | (F.col(stream.LP) > F.col(stream.CNT) - 3))
+    blocks = stream._with_halo(m, edge, ["k"], 8, 3).groupBy("_block").count().collect()
+    assert len(blocks) > 10 and max(r["count"] for r in blocks) <= 8 * 6 + 3
+
+
+def test_scan_of_many_devices_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(stream, "SCAN_BLOCK", 20_000)
+    df = spark.range(200_000).select((F.col("id") % 2).alias("f"), F.format_string("d%06d", F.col("id")).alias("dev"),
+                                     F.lit(0).alias(stream.SEG), (F.col("id") % 3).alias("s"))
+    seen = []
+    monkeypatch.setattr(stream, "cut_lineage", lambda d, f=stream.cut_lineage: seen.append(f(d)) or seen[-1])
+    got = stream.blocked_sums(df, ["f"], ["dev", stream.SEG], "s", "off")
+    w = Window.partitionBy("f").orderBy("dev").rowsBetween(Window.unboundedPreceding, -1)
+    want = df.withColumn("off", F.coalesce(F.sum("s").over(w), F.lit(0)))
+    assert got.select("dev", "off").exceptAll(want.select("dev", "off")).count() == 0 and got.count() == 200_000
+    assert max(r["count"] for r in seen[0].groupBy("_range").count().collect()) <= 2 * 20_000
+
+
+def test_features_do_not_depend_on_segments(spark):
+    """F1-F23 with segments of a few rows equal those of whole devices."""
+    from streamguard.operators import features as FE
+    from streamguard.sources import ingest
+    out = []
+    for rows in (None, 6):
+        p = packets(spark, SF_SMALL, target_rows=rows).withColumn("conf_rev", F.lit(1).cast("bigint"))
+        full = FE.engineer_full(ingest.typed_packets(p), rows)
+        cols = ["packet_id", "inter_arrival", "jitter_rolling_std", "sqNum_delta", "stNum_change", "event_id",
+                "msgs_since_last_event", "time_since_last_event"]
+        out.append(sorted([tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in full.select(*cols).collect()]))
+        stream.release()
+    assert out[0] == out[1]
