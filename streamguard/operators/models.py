@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.quantiles import exact_quantiles
+from ..session import cut_lineage
 from . import stats as ST
 from .detect import top_share
 
@@ -183,19 +185,19 @@ def fit_predict_clusters(train_v: DataFrame, test_v: DataFrame, kind: str, k: in
     return cluster_model(train_v, kind, k, max_iter, restarts)(test_v)
 
 
-def isolation_forest(train: DataFrame, test: DataFrame, features: Sequence[str], contamination: float,
-                     id_col: str = "packet_id") -> DataFrame:
+def isolation_forest(z_train: DataFrame, z_test: DataFrame, cols: Sequence[str], contamination: float,
+                     id_col: str = "packet_id") -> tuple[DataFrame, DataFrame]:
     """B1: isolation forest (100 trees, 256-row samples); outliers (score above the train quantile) -> 1.
 
+    Takes prepared frames and returns (id, if_score, pred) of both.
+
     Each tree's sample is drawn by id hash without collecting: every row joins
     the trees whose hash falls under a rate sized for about 1.3 x 256 rows, the
     256 smallest hashes per tree are kept; trees grow in parallel with
     ``groupBy(tree).applyInPandas``; scoring maps partitions with the forest
     (100 small arrays) broadcast.
     """
-    mx = Matrix(train, features, zero_fill=True)
-    cols = mx.kept
-    z_train, z_test = mx.z(train), mx.z(test)
+    cols = list(cols)
     n = z_train.count()
     rate = min(1.0, 1.3 * IFOREST_SAMPLE / max(n, 1))
     trees = F.sequence(F.lit(0), F.lit(IFOREST_TREES - 1))
@@ -235,13 +237,13 @@ def isolation_forest(train: DataFrame, test: DataFrame, features: Sequence[str],
 
     forest = samp.groupBy("tree").applyInPandas(grow, node_schema).toPandas()  # 100 trees x <= 511 nodes
     by_tree = {t: g.sort_values("node").to_numpy() for t, g in forest.groupby("tree")}
-    spark = train.sparkSession
+    spark = z_train.sparkSession
     bc = spark.sparkContext.broadcast(by_tree)
     psi = IFOREST_SAMPLE
 
     def c(nn):
         nn = np.asarray(nn, dtype=float)
-        return np.where(nn > 2, 2 * (np.log(nn - 1) + 0.5772156649) - 2 * (nn - 1) / np.maximum(nn, 1),
+        return np.where(nn > 2, 2 * (np.log(np.maximum(nn - 1, 1)) + 0.5772156649) - 2 * (nn - 1) / np.maximum(nn, 1),
                         np.where(nn == 2, 1.0, 0.0))
 
     def score(batches):
@@ -273,34 +275,33 @@ def isolation_forest(train: DataFrame, test: DataFrame, features: Sequence[str],
     out_schema = T.StructType([T.StructField(id_col, T.LongType()), T.StructField("if_score", T.DoubleType())])
     tr = z_train.select(id_col, *cols).mapInPandas(score, out_schema)
     te = z_test.select(id_col, *cols).mapInPandas(score, out_schema)
-    from ..functions.quantiles import exact_quantiles
+    tr = cut_lineage(tr)
     thr = exact_quantiles(tr, "if_score", [], [1.0 - contamination]).collect()[0][0]
-    return te.withColumn("pred", (F.col("if_score") > F.lit(thr)).cast("int"))
+    return tuple(d.withColumn("pred", (F.col("if_score") > F.lit(thr)).cast("int")) for d in (tr, te))
 
 
-def one_class_rff(train: DataFrame, test: DataFrame, features: Sequence[str], nu: float, dim: int = 128,
-                  iters: int = 30, id_col: str = "packet_id") -> DataFrame:
+def one_class_rff(z_train: DataFrame, z_test: DataFrame, cols: Sequence[str], nu: float, dim: int = 128,
+                  iters: int = 40, tolerance: float = 0.02, id_col: str = "packet_id") -> tuple[DataFrame, DataFrame]:
     """B2: one-class SVM with an RBF kernel (gamma = 1 / d) approximated by random Fourier features.
 
     The primal objective 1/2 |w|^2 + 1/(nu n) sum max(0, rho - w.phi(x)) - rho is
-    minimised by full-batch subgradient steps.  Each step maps the partitions
-    with numpy (features -> phi -> margin) into one partial sum each; Spark adds
-    them and ``dim`` + 1 numbers reach the driver.
-    Outliers: w.phi(x) < rho.
+    minimised by full-batch subgradient steps, until a step moves w by less
+    than ``tolerance`` of its length (or ``iters`` steps).  Each step maps the
+    partitions with numpy (features -> phi -> margin) into one partial sum
+    each; Spark adds them and ``dim`` + 1 numbers reach the driver.  The offset
+    is then the exact nu-quantile of the training scores; outliers lie below.
+    Takes prepared frames and returns (id, ocsvm_score, pred) of both.
     """
-    mx = Matrix(train, features, zero_fill=True)
-    cols = mx.kept
-    d = len(cols)
+    cols = list(cols)
+    d = max(1, len(cols))
     rng = np.random.default_rng(SEED)
-    W = rng.normal(scale=np.sqrt(2.0 / d), size=(d, dim))  # gamma = 1 / d
+    W = rng.normal(scale=np.sqrt(2.0 / d), size=(len(cols), dim))  # gamma = 1 / d
     b = rng.uniform(0, 2 * np.pi, size=dim)
     scale = np.sqrt(2.0 / dim)
-    spark = train.sparkSession
+    spark = z_train.sparkSession
     bc = spark.sparkContext.broadcast((W, b, scale))
-    ztr = mx.z(train).select(*cols)
-    if spark.sparkContext.getCheckpointDir():
-        ztr = ztr.checkpoint(eager=True)
-    n = ztr.count()
+    ztr = z_train.select(id_col, *cols)
+    n = max(1, ztr.count())
     w, rho = np.zeros(dim), 0.0
     for it in range(iters):
         w_b, rho_b = w.copy(), rho
@@ -320,20 +321,21 @@ def one_class_rff(train: DataFrame, test: DataFrame, features: Sequence[str], nu
             total[r["i"]] = r["s"]
         g, k = total[:dim], total[dim]
         lr = 1.0 / (it + 1)
-        w = w - lr * (w - g / (nu * n))
+        step = lr * (w - g / (nu * n))
+        w = w - step
         rho = rho - lr * (-1.0 + k / (nu * n))
-    wb = spark.sparkContext.broadcast((w, rho))
-    sch = T.StructType([T.StructField(id_col, T.LongType()), T.StructField("ocsvm_score", T.DoubleType()),
-                        T.StructField("pred", T.IntegerType())])
+        if it >= 10 and np.linalg.norm(step) <= tolerance * np.linalg.norm(w):
+            break
 
-    def score(batches):
+    def score(batches, w=w):
         W_, b_, sc = bc.value
-        w_, rho_ = wb.value
         for pdf in batches:
-            s_ = (np.cos(pdf[cols].to_numpy(dtype=float) @ W_ + b_) * sc) @ w_
-            yield pd.DataFrame({id_col: pdf[id_col].to_numpy(), "ocsvm_score": s_,
-                                "pred": (s_ < rho_).astype("int32")})
-    return mx.z(test).select(id_col, *cols).mapInPandas(score, sch)
+            s_ = (np.cos(pdf[cols].to_numpy(dtype=float) @ W_ + b_) * sc) @ w
+            yield pd.DataFrame({id_col: pdf[id_col].to_numpy(), "ocsvm_score": s_})
+    tr, te = (z.select(id_col, *cols).mapInPandas(score, f"{id_col} long, ocsvm_score double") for z in (z_train, z_test))
+    tr = cut_lineage(tr)
+    offset = exact_quantiles(tr, "ocsvm_score", [], [nu]).collect()[0][0]
+    return tuple(x.withColumn("pred", (F.col("ocsvm_score") < F.lit(offset)).cast("int")) for x in (tr, te))
 
 
 def reconstruction_detector(train: DataFrame, test: DataFrame, features: Sequence[str],
@@ -388,63 +390,3 @@ def sequence_detector(train_gaps: DataFrame, test_gaps: DataFrame, k: int = 8) -
     out = err(centered(te))
     return out.select("end_packet_id", "seq_label", "seq_error", (F.col("seq_error") > F.lit(thr)).cast("int")
                       .alias("pred"))
-
-
-def ward_on_centroids(centers: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
-    """Ward agglomeration of weighted centroids down to ``k`` groups (bounded input: <= 500 centroids).
-
-    Merge cost of groups a, b: w_a w_b / (w_a + w_b) |c_a - c_b|^2; the cost
-    matrix is updated for the merged group only (numpy, O(n^2) per merge).
-    """
-    cen = centers.astype(float).copy()
-    w = weights.astype(float).copy()
-    n = len(cen)
-    alive = np.ones(n, dtype=bool)
-    label = np.arange(n)
-
-    def costs(i):
-        d2 = ((cen - cen[i]) ** 2).sum(axis=1)
-        c = w * w[i] / (w + w[i]) * d2
-        c[~alive] = np.inf
-        c[i] = np.inf
-        return c
-
-    cost = np.full((n, n), np.inf)
-    for i in range(n):
-        cost[i] = costs(i)
-    groups = n
-    while groups > k:
-        flat = int(np.argmin(cost))
-        a, b = divmod(flat, n)
-        if a > b:
-            a, b = b, a
-        cen[a] = (cen[a] * w[a] + cen[b] * w[b]) / (w[a] + w[b])
-        w[a] += w[b]
-        alive[b] = False
-        label[label == b] = a
-        cost[b, :] = np.inf
-        cost[:, b] = np.inf
-        row = costs(a)
-        cost[a, :] = row
-        cost[:, a] = row
-        groups -= 1
-    _, out = np.unique(label, return_inverse=True)
-    return out
-
-
-def hierarchical_model(train_v: DataFrame, k: int = 5, micro: int = 500) -> Callable[[DataFrame], DataFrame]:
-    """K3: Ward clustering re-aimed for scale: KMeans to ``micro`` weighted micro-clusters, Ward on those.
-
-    ``micro`` is a parameter of the method, the same for every size of the data.
-    """
-    km = KMeans(k=max(k, micro), seed=SEED, maxIter=20, featuresCol="features",
-                predictionCol="_micro").fit(train_v)
-    sizes = {r["_micro"]: r["count"] for r in km.transform(train_v).groupBy("_micro").count().collect()}
-    centers = np.array([c for c in km.clusterCenters()])
-    weights = np.array([sizes.get(i, 0) for i in range(len(centers))], dtype=float)
-    nz = np.where(weights > 0)[0]
-    lab = np.full(len(centers), -1)
-    lab[nz] = ward_on_centroids(centers[nz], weights[nz], min(k, len(nz)))
-    spark = train_v.sparkSession
-    m = spark.createDataFrame([(int(i), int(lab[i])) for i in range(len(centers))], "_micro int, cluster int")
-    return lambda df: km.transform(df).join(F.broadcast(m), on="_micro", how="left").drop("_micro")
