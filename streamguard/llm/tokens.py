@@ -43,7 +43,8 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # a special token's string in a text is ordinary text
+        #: Strings that the tokenizer takes as one token wherever they stand: texts that hold one are encoded whole.
+        self.added = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cuts = cuts
         mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
         self.mark = mark[0] if cuts == "word" and len(mark) == 1 else None
@@ -84,8 +85,31 @@ class Encoder:
             ids, sizes[i] = np.concatenate([ids[:at], alone, ids[at:]]), len(alone)
         return sizes, ids
 
+    def _with_added(self, texts: Texts) -> list[int]:
+        """The texts that hold an added token's string, in any case of letters."""
+        body, found = texts.data.tobytes().lower(), set()
+        for name in self.added:
+            at = body.find(name)
+            while at >= 0:
+                i = int(np.searchsorted(texts.bounds, at, side="right")) - 1
+                found.add(i)
+                at = body.find(name, int(texts.bounds[i + 1]))  # on with the next text
+        return sorted(found)
+
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, bounds): all texts' ids one after another (uint32), without an end id."""
+        """(ids, bounds): all texts' ids one after another (uint32), without an end id, as the tokenizer gives them."""
+        ids, bounds = self._by_piece(texts)
+        whole = self._with_added(texts)
+        if not whole:
+            return ids, bounds
+        parts = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        for i in whole:
+            text = texts.data[texts.bounds[i]:texts.bounds[i + 1]].tobytes().decode("utf-8", "replace")
+            parts[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int64)
+
+    def _by_piece(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` for texts without added tokens."""
         start, end = (texts.start, texts.end) if self.cuts == "word" else _cuts(texts)
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(texts.counts) + 1, np.int64)

@@ -174,10 +174,10 @@ def test_plan_packs_everything_tightly():
 def test_ids_equal_the_tokenizer():
     import pyarrow as pa
     from tokenizers import Tokenizer
-    texts = ["Hello  world\n\n it's  a test", " lead", "trail ", "a  b", "x 　y z", "don't <|endoftext|> stop", "", "\t\n", "é é  é", "\x01 a\x01b c", "1 234,5 ́x"] * 2
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|startoftext|>x<|ENDOFTEXT|> y", "x" * 3 + "<|endoftext|><|endoftext|>", "no <|end of text|>",
+             "Hello  world\n\n it's  a test", " lead", "trail ", "a  b", "x 　y z", "don't <|endoftext|> stop", "", "\t\n", "é é  é", "\x01 a\x01b c", "1 234,5 ́x"] * 2
     for name, cuts in (("byte_bpe_50k.json", "blank"), ("word_bpe_49k.json", "word")):
         whole = Tokenizer.from_file(queries.tokenizer(name))
-        whole.encode_special_tokens = True
         encoder = tokens.Encoder(queries.tokenizer(name), cuts)
         for _ in range(2):
             ids, bounds = encoder.encode(Texts(pa.array(texts)))
@@ -185,6 +185,60 @@ def test_ids_equal_the_tokenizer():
             encoder._settle()
 
 
+def _odd_texts():
+    rng = random.Random(9)
+    words = ["the", "cat", "sat", "Ünïcode", "x" * 30, "1 234", "\n", "\t\t", "<|endoftext|>", "☃", "it's"]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(60))) for _ in range(40)]
+    return [(i, t) for i, t in enumerate([*texts, None, "", " ".join(rng.choices(words[:5], k=4000)), texts[0], "a" * 5000])] + [(3, texts[3]), (None, "null id")]
+
+
+def _plain_ids(name):
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(queries.tokenizer(name))
+    return lambda text: [*plain.encode(text or "", add_special_tokens=False).ids, 2]
+
+
+def _crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_packed_pieces_equal_a_plain_tokenizer(spark):
+    ids = _plain_ids("byte_bpe_50k.json")
+    got = packing.pack(packing.pieces(spark.createDataFrame(_odd_texts(), "doc_id long, text string"), queries.tokenizer("byte_bpe_50k.json"))).collect()
+    want = []
+    for i, text in _odd_texts():
+        own = ids(text)
+        at, piece = 0, 0
+        size = len(own) if len(own) <= 1024 else len(own) % 1024 or 1024
+        while at < len(own):
+            want.append((str(i), piece, at, size, _crc(own[at:at + size])))
+            at, piece, size = at + size, piece + 1, 1024
+    assert sorted((str(r.doc_id), r.piece, r.start, r.length, r.ids_crc32) for r in got) == sorted(want)
+    fill = {}
+    for r in got:
+        fill.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in fill.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    assert len(fill) <= -(-sum(r.length for r in got) // 1024) + 2
+
+
+def test_token_files_equal_a_plain_tokenizer(spark):
+    from streamguard.llm import tokenfile
+    ids = _plain_ids("word_bpe_49k.json")
+    rows = [r for r in _odd_texts() if r[0] is not None and r != (3, dict(_odd_texts())[3])] + [(77, "last <|startoftext|>")]
+    got = sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in tokenfile.round_trip(spark.createDataFrame(rows, "doc_id long, text string"), queries.tokenizer("word_bpe_49k.json")).collect())
+    want, at = [], 0
+    for i, text in sorted(rows, key=lambda r: r[0]):
+        own = ids(text)
+        want.append((i, at, len(own), _crc(own)))
+        at += len(own)
+    assert got == want
+
+
 def test_warc_long_record_and_damage():
     big = bytes(17 << 20)
     data = warc.member(warc.record(1, "http://x/\r\n", big, None)) + warc.member(warc.record(2, None, b"", None)) + warc.member(warc.record(3, "u", big, 1))
