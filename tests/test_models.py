@@ -63,3 +63,40 @@ def test_kmeans_is_seeded(spark):
     a = MD.fit_predict_clusters(v, v, "kmeans", 5).select("packet_id", "cluster").collect()
     b = MD.fit_predict_clusters(v, v, "kmeans", 5).select("packet_id", "cluster").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_preparation_fits_saves_and_groups_alike(spark, tmp_path):
+    """The pipeline equals numpy, its saved model and the fit of all groups in one pass."""
+    from streamguard.operators.prepare import Prepared
+    rng = np.random.default_rng(4)
+    n = 400
+    x = pd.DataFrame({"g": np.where(np.arange(n) % 3 == 0, "a", "b"), "packet_id": np.arange(n), "u": rng.normal(5, 2, n), "half": rng.normal(0, 1, n),
+                      "const": 7.0, "boolean_1": 1.0, "odd": rng.normal(0, 1, n), "weak": rng.normal(0, 1, n)})
+    x.loc[x.index % 5 < 3, "half"] = np.nan
+    x.loc[x.index % 9 != 0, "boolean_1"] = np.nan
+    x.loc[1, "odd"], x.loc[2, "odd"], x.loc[3, "u"] = np.inf, -np.inf, np.nan
+    df = spark.createDataFrame(x)
+    features = ["u", "half", "const", "boolean_1", "odd", "weak"]
+    known = {"u": 0.5, "odd": 0.2, "weak": 0.01, "boolean_1": 0.3}
+    for g, p in Prepared.fit_groups(df, "g", features, known, 0.1).items():
+        one = Prepared.fit(df.filter(F.col("g") == g), features, known, 0.1)
+        one.save(str(tmp_path / g))
+        again = Prepared.load(str(tmp_path / g))
+        sub = x[x.g == g].replace([np.inf, -np.inf], np.nan)
+        want = {c: sub[c].fillna(sub[c].median()) for c in ("u", "odd")}
+        for q in (p, one, again):
+            assert q.kept == ["u", "odd"] and abs(q.fills["u"] - sub["u"].median()) < 1e-12
+            z = q.transform(df.filter(F.col("g") == g)).orderBy("packet_id").toPandas()
+            for c, v in want.items():
+                assert np.allclose(z[c], (v - v.mean()) / v.std(ddof=0))
+            assert np.allclose(np.stack([r.toArray() for r in z["features"]]), z[["u", "odd"]])
+    assert Prepared.fit(df, features, {"u": 0.1, "odd": 0.2}, 0.9).kept == ["u", "odd"]  # none reaches it: the most important ones
+
+
+def test_one_class_flags_at_most_its_share(spark):
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, *map(float, rng.normal(0, 1, 3) + (8 if i % 20 == 0 else 0))) for i in range(600)], "packet_id long, a double, b double, c double")
+    tr, te = MD.one_class_rff(df, df, ["a", "b", "c"], 0.05)
+    assert 20 <= tr.agg(F.sum("pred")).first()[0] <= 30 and te.count() == 600
+    a, b = MD.isolation_forest(df, df, ["a", "b", "c"], 0.05)
+    assert a.agg(F.sum("pred")).first()[0] <= 30 and b.filter("packet_id % 20 = 0").agg(F.avg("pred")).first()[0] > 0.8
