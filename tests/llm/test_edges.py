@@ -70,5 +70,30 @@ def test_stages(spark, docs, empty):
             if start is empty:
                 assert now.count() == 0
             elif name == "near_dedup":
-                ids = [r[0] for r in now.select("doc_id").collect() if r[0] is not None]
-                assert len(ids) == len(set(ids)) and before.where("doc_id is null").count() == now.where("doc_id is null").count()
+                texts = [" ".join((r[0] or "").split()) for r in now.select("text").collect()]
+                assert all(texts.count(t) == 1 for t in texts if t)
+                gone = {" ".join((r[0] or "").split()) for r in before.select("text").collect()} - set(texts)
+                assert all(t.endswith(" tail") for t in gone)  # a near copy of a text that stays
+
+
+def test_near_dedup_keeps_different_texts_of_one_id(spark):
+    import corpus_pipeline
+    a, b, c = (" ".join(f"{k}{i}" for i in range(60)) for k in "abc")
+    rows = [(1, a), (1, b), (2, b), (2, b), (None, c), (None, a), (5, c + " more"), (6, None), (7, None)]
+    data = [(i, t, "en", "s", 0, "x", "y", i) for i, t in rows]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _row string, kept_text string, component_id long"
+    got = corpus_pipeline.near_dedup(spark, common.cut(spark.createDataFrame(data, schema)), "")
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "_row", "kept_text", "component_id"]
+    assert sorted((str(r.doc_id), r.text or "", r._row, r.kept_text) for r in got.collect()) == sorted((i, t, "x", "y") for i, t in (("1", a), ("1", b), ("5", c + " more"), ("6", ""), ("7", "")))
+
+
+@pytest.mark.parametrize("stage", ["quality", "substring", "mixing"])
+def test_stages_give_further_columns_back(spark, stage):
+    import corpus_pipeline
+    words = " ".join(f"w{i}" for i in range(60))
+    names = ["_row", "_id", "_key", "_copies", "_copy", "_tag", "_lost", "kept_text", "size"]
+    data = [(i, f"{words} {i}", "en", "s", 0, *[f"{n}{i}" for n in names]) for i in range(6)]
+    docs = common.cut(spark.createDataFrame(data, ["doc_id", "text", "lang", "source", "n_chars", *names]))
+    got = dict(corpus_pipeline.STAGES)[stage](spark, docs, "")
+    assert got.columns == docs.columns and got.count() > 0
+    assert all(r[n] == f"{n}{r.doc_id}" for r in got.collect() for n in names)
