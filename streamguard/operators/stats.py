@@ -74,6 +74,13 @@ def feature_profile(df: DataFrame, features: Sequence[str]) -> DataFrame:
             .withColumn("share", F.col("nonnull") / F.col("n")))
 
 
+def nonnull_shares(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """M2's input: rows, non-null count and share of every feature, from one wide aggregate."""
+    counts = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(dbl(c)).alias(c) for c in features])
+    rows = counts.unpivot(["_n"], list(features), "feature", "nonnull")
+    return rows.select("feature", F.col("_n").alias("n"), "nonnull", F.try_divide(F.col("nonnull"), F.col("_n")).alias("share"))
+
+
 def drop_sparse(profile: DataFrame, strict: bool = False, always_keep: Sequence[str] = ()) -> list[str]:
     """M2: features whose non-null share is >= 0.5 (characterisation) or > 0.5 (detection)."""
     cond = F.col("share") > MIN_NONNULL_SHARE if strict else F.col("share") >= MIN_NONNULL_SHARE

@@ -67,7 +67,7 @@ z AS (SELECT f.*, coalesce(CASE WHEN k.s > 0 THEN (f.v - k.m) / k.s END, 0.0) AS
     full=True))
 def drop_sparse(spark, sf):
     """Non-null share per feature and both keep rules (>= 0.5; > 0.5 with boolean_1 kept)."""
-    prof = ST.feature_profile(train_full(spark, sf), FULL)
+    prof = ST.nonnull_shares(train_full(spark, sf), FULL)
     return prof.select("feature", "share",
                        (F.col("share") >= ST.MIN_NONNULL_SHARE).cast("bigint").alias("keep_characterize"),
                        ((F.col("share") > ST.MIN_NONNULL_SHARE) | (F.col("feature") == "boolean_1"))

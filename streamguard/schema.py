@@ -76,7 +76,7 @@ RAW_TYPES: dict[str, T.DataType] = {
 # Typed likewise, but only where the input has them.
 OPTIONAL_TYPES: dict[str, T.DataType] = {"data_length": T.LongType()}
 
-# Projection per mode (S2), engine names; `advanced` adds the graph fields.
+# Projection per mode (S2), engine names; `advanced` adds the graph fields.
 CORE_FIELDS = ["gocb_ref", "ttl_ms", "time_s", "t", "st_num", "sq_num", "length",
                "boolean_raw", "bit_string", "attack"]
 ALLOWED_FIELDS = CORE_FIELDS + ["epoch_time", "arrival_time", "delta_captured", "delta_displayed",
@@ -84,7 +84,7 @@ ALLOWED_FIELDS = CORE_FIELDS + ["epoch_time", "arrival_time", "delta_captured",
 ADVANCED_FIELDS = ["source", "destination"]
 CONFIG_FIELDS = ["conf_rev", "n_entries", "go_id", "dat_set"]
 
-# Numeric feature lists per mode (M1).
+# Numeric feature lists per mode (M1).
 CORE_NUMERIC = ["ttl_ms", "st_num", "sq_num", "length", "boolean_1", "boolean_2", "boolean_3",
                 "bitstring_numeric", "bitstring_bitcount"]
 FULL_RAW_NUMERIC = ["epoch_time", "arrival_time", "length", "frame_len", "frame_len_stored", "ttl_ms",
