@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of input text that one shard of packed hashes stands for.
@@ -47,6 +47,14 @@ def cut(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cut_measured(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, dict]:
+    """``cut``, and aggregates of the rows (``rows``, their number, and ``metrics``) taken while they are written."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    wanted = [F.count(F.lit(1)).alias("rows"), *(c.alias(k) for k, c in metrics.items())]
+    out = cut(df.observe(seen, *wanted), name)
+    return out, dict(seen.get)
+
+
 def remove(df: DataFrame) -> None:
     """Delete the files of a table made by ``cut`` once its successor is written."""
     jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()

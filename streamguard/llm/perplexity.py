@@ -26,6 +26,7 @@ code points, so only the base rules decide; repeated rows are scored each; an em
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -161,17 +162,17 @@ def count_ngrams(docs: DataFrame, everything: bool = False) -> DataFrame:
 
 # --- modified Kneser-Ney ----------------------------------------------------------------------------
 
-def _discounted(level: DataFrame) -> DataFrame:
-    """(lang, gram, n) -> with the language's discounts d1, d2, d3 (Chen and Goodman)."""
+def _discounts(levels: DataFrame) -> DataFrame:
+    """(lang, k, d1, d2, d3, v) from (k, lang, gram, n): a language's discounts of each order (Chen and Goodman), and its n-grams plus one."""
     c = lambda k: F.sum(F.when(F.col("n") == k, 1.0).otherwise(0.0))
-    n = level.groupBy("lang").agg(*[c(k).alias(f"n{k}") for k in (1, 2, 3, 4)])
+    n = levels.groupBy("lang", "k").agg((F.count("*") + 1).cast("double").alias("v"), *[c(k).alias(f"n{k}") for k in (1, 2, 3, 4)])
     y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
 
     def d(k: int):
         raw = k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}")
         usable = (F.col(f"n{k}") > 0) & (F.col("n1") > 0) & (F.try_divide(F.col("n1"), F.col("n1")) == 1)
         return F.when(usable, F.greatest(F.lit(0.05 * k), F.least(raw, F.lit(0.95 * k)))).otherwise(F.lit(0.5 * k)).alias(f"d{k}")
-    return n.select("lang", d(1), d(2), d(3))
+    return n.select("lang", "k", d(1), d(2), d(3), "v")
 
 
 def _taken():
@@ -180,44 +181,47 @@ def _taken():
 
 
 def train(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """The model: (lang, k, gram, logp, backoff) for every n-gram of 1 to ``order`` characters.
+    """The model: (lang, k, gram, logp, backoff) for every n-gram of 1 to ``order`` characters."""
+    return _trained(docs, order)[0]
+
+
+def _trained(docs: DataFrame, order: int = ORDER) -> tuple[DataFrame, int]:
+    """The model and its number of rows.
 
     ``logp`` is the interpolated log probability of the last character after
     the others; ``backoff`` the log weight left to the shorter context where
     this n-gram is the context and the next character was not seen after it.
+    All orders share the passes for discounts, contexts and back-off weights;
+    only the interpolation goes order by order.  The discounts, one row per
+    language and order, are a table of their own, so Spark sees its size and
+    does not deal the n-grams by language.
     """
     levels = {order: common.cut(count_ngrams(docs), "ngrams")}
     for k in range(order - 1, 0, -1):  # continuation counts: how many characters stand before it
         up = levels[k + 1]
         levels[k] = common.cut(up.groupBy("lang", F.substring("gram", 2, k).alias("gram")).agg(F.count("*").alias("n")), f"ngrams{k}")
-    size = levels[1].groupBy("lang").agg((F.count("*") + 1).cast("double").alias("v"))
-    below, models = None, []
+    every = reduce(DataFrame.unionByName, [levels[k].select(F.lit(k).alias("k"), "lang", "gram", "n") for k in levels])
+    discounts = common.cut(_discounts(every), "discounts")
+    every = every.join(discounts, ["lang", "k"]).withColumn("ctx", F.substring("gram", F.lit(1), F.col("k") - 1))
+    left = common.cut(every.groupBy("k", "lang", "ctx").agg(F.sum("n").alias("total"), F.sum(_taken()).alias("mass")), "contexts")
+    backoff = left.select((F.col("k") - 1).alias("k"), "lang", F.col("ctx").alias("gram"), F.log(F.col("mass") / F.col("total")).alias("backoff"))
+    rows = every.select("k", "lang", "gram", "ctx", "v", (F.col("n") - _taken()).alias("own")).join(left, ["k", "lang", "ctx"]).join(backoff, ["k", "lang", "gram"], "left")
+    rows = common.cut(rows.select("k", "lang", "gram", "v", "own", "total", "mass", F.coalesce("backoff", F.lit(0.0)).alias("backoff")), "rows")
+    below, parts = None, []
     for k in range(1, order + 1):
-        rows = levels[k].join(_discounted(levels[k]), "lang").withColumn("ctx", F.substring("gram", 1, k - 1))
-        left = rows.groupBy("lang", "ctx").agg(F.sum("n").alias("total"), F.sum(_taken()).alias("mass"))
-        rows = rows.join(left, ["lang", "ctx"])
+        mine = rows.where(F.col("k") == k)
         if below is None:
-            rows = rows.join(size, "lang").withColumn("lower", 1.0 / F.col("v"))
+            mine = mine.withColumn("lower", 1.0 / F.col("v"))
         else:
-            rows = rows.withColumn("suffix", F.substring("gram", 2, k - 1)).join(below.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("lower")), ["lang", "suffix"])
-        p = (F.col("n") - _taken() + F.col("mass") * F.col("lower")) / F.col("total")
-        below = common.cut(rows.select("lang", "gram", p.alias("p")), f"p{k}")
-        backoff = left.select("lang", F.lit(k - 1).alias("k"), F.col("ctx").alias("gram"), F.log(F.col("mass") / F.col("total")).alias("backoff"))
-        models.append((below.select("lang", F.lit(k).alias("k"), "gram", F.log("p").alias("logp")), backoff))
-    out = []
-    for k in range(1, order + 1):
-        probs = models[k - 1][0]
-        if k < order:
-            probs = probs.join(models[k][1].drop("k"), ["lang", "gram"], "left")
-        else:
-            probs = probs.withColumn("backoff", F.lit(0.0))
-        out.append(probs.select("lang", "k", "gram", "logp", F.coalesce("backoff", F.lit(0.0)).alias("backoff")))
-    model = out[0]
-    for x in out[1:]:
-        model = model.unionByName(x)
+            mine = mine.withColumn("suffix", F.substring("gram", 2, k - 1)).join(below.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("lower")), ["lang", "suffix"])
+        below = mine.select("lang", "k", "gram", ((F.col("own") + F.col("mass") * F.col("lower")) / F.col("total")).alias("p"), "backoff")
+        below = common.cut(below, f"p{k}") if k < order else below
+        parts.append(below.select("lang", "k", "gram", F.log("p").alias("logp"), "backoff"))
     langs = docs.select(F.coalesce("lang", F.lit(_NO_LANG)).alias("lang")).distinct()
+    size = discounts.where(F.col("k") == 1).select("lang", "v")
     floor = langs.join(size, "lang", "left").withColumn("v", F.coalesce("v", F.lit(float(CODE_POINTS)))).select("lang", F.lit(0).alias("k"), F.lit("").alias("gram"), F.log(1.0 / F.col("v")).alias("logp"), F.lit(0.0).alias("backoff"))
-    return common.cut(model.unionByName(floor), "model")
+    model, seen = common.cut_measured(reduce(DataFrame.unionByName, [*parts, floor]), "model")
+    return model, seen["rows"]
 
 
 def gram_hashes(langs: list[str], orders: np.ndarray, grams: list[str]) -> np.ndarray:
@@ -332,7 +336,10 @@ def _score_by_broadcast(docs: DataFrame, arrays: DataFrame) -> DataFrame:
             sums = np.concatenate([[0.0], np.cumsum(total)])
             yield pa.RecordBatch.from_arrays([column for column in (common.column(table, "doc_id"), common.column(table, "lang"))] + [pa.array(got[c].astype(np.int64)) for c in _COUNTS] + [pa.array(counts), pa.array(sums[edges[1:]] - sums[edges[:-1]])],
                                              names=["doc_id", "lang", *_COUNTS, "n_scored", "logp"])
-    return common.plain_ids(docs, "doc_id", "text", "lang").mapInArrow(common.tidy(run), "doc_id long, lang string, " + ", ".join(f"{c} long" for c in _COUNTS) + ", n_scored long, logp double")
+    rows = common.plain_ids(docs, "doc_id", "text", "lang").mapInArrow(common.tidy(run), "doc_id long, lang string, " + ", ".join(f"{c} long" for c in _COUNTS) + ", n_scored long, logp double")
+    out = common.cut(rows, "scores")
+    shared.destroy()
+    return out
 
 
 def _features_only(docs: DataFrame) -> DataFrame:
@@ -397,7 +404,7 @@ def _score_by_join(docs: DataFrame, model: DataFrame) -> DataFrame:
     best = common.cut(_resolve(count_ngrams(docs, everything=True).drop("n"), model), "resolved")
     each = grams.join(best, ["lang", "gram"]).select("logp", F.explode(F.arrays_zip("rows", "ns")).alias("x"))
     sums = each.groupBy(F.col("x.rows").alias("row")).agg(F.sum(F.col("x.ns") * F.col("logp")).alias("logp"), F.sum("x.ns").alias("n_scored"))
-    return _features_only(docs).join(sums, "row", "left").drop("row").withColumn("n_scored", F.coalesce("n_scored", F.lit(0)))
+    return common.cut(_features_only(docs).join(sums, "row", "left").drop("row").withColumn("n_scored", F.coalesce("n_scored", F.lit(0))), "scores")
 
 
 def scores(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -406,8 +413,7 @@ def scores(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame
     The model is broadcast when its measured size is within ``broadcast_bytes``
     and joined otherwise.
     """
-    model = train(docs)
-    entries = model.count()
+    model, entries = _trained(docs)
     if entries * 16 <= broadcast_bytes:
         arrays = common.cut(hash_arrays(model, min(64, common.shards_for(docs))), "arrays")
         return _score_by_broadcast(docs, arrays)
@@ -417,12 +423,8 @@ def scores(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame
 # --- bands ------------------------------------------------------------------------------------------
 
 def _median(df: DataFrame, value: str, out: str) -> DataFrame:
-    """Exact median per language of grid values, from counts per value (one small row each)."""
-    from pyspark.sql import Window
-    n = df.groupBy("lang", value).agg(F.count("*").alias("n"))
-    below = F.sum("n").over(Window.partitionBy("lang").orderBy(value))
-    total = F.sum("n").over(Window.partitionBy("lang"))
-    return n.withColumn("below", below).withColumn("total", total).where(F.col("below") * 2 >= F.col("total")).groupBy("lang").agg(F.min(value).alias(out))
+    """(lang, out): exact lower median per language; every task sends its counts of the grid's values only."""
+    return common.cut(df.groupBy("lang").agg(F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{value}`)").alias(out)), out)
 
 
 def judge(scored: DataFrame, lower: float = LOWER, upper: float = UPPER) -> DataFrame:
@@ -444,4 +446,4 @@ def judge(scored: DataFrame, lower: float = LOWER, upper: float = UPPER) -> Data
 
 def quality(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """One row per document: base counts, perplexity, band and verdict."""
-    return judge(common.cut(scores(docs, broadcast_bytes), "scores"))
+    return judge(scores(docs, broadcast_bytes))
