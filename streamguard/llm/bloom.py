@@ -7,6 +7,9 @@ outgrows the filter it lets more rows through, up to all of them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,8 +26,12 @@ def _places(ids: np.ndarray) -> list[np.ndarray]:
     return [(mix(ids.astype(np.int64).view(U) + U(0x9E3779B97F4A7C15 * (k + 1) % (1 << 64))) >> U(40)).astype(np.int64) for k in range(HASHES)]
 
 
-def might_contain(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose long ``key`` may be among ``keys`` (a one-column table)."""
+@contextmanager
+def might_contain(df: DataFrame, key: str, keys: DataFrame) -> Iterator[DataFrame]:
+    """Rows of ``df`` whose long ``key`` may be among ``keys`` (a one-column table).
+
+    The rows must be written or counted inside the ``with`` block; the filter goes at its end.
+    """
     spark = df.sparkSession
     name = keys.columns[0]
 
@@ -48,4 +55,7 @@ def might_contain(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
             ids = b.column(key).fill_null(0).to_numpy(zero_copy_only=False)
             ok = np.logical_and.reduce([bits[p] for p in _places(ids)])
             yield b.filter(pa.array(ok))
-    return df.mapInArrow(common.tidy(keep), df.schema)
+    try:
+        yield df.mapInArrow(common.tidy(keep), df.schema)
+    finally:
+        shared.destroy()

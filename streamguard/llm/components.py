@@ -2,7 +2,8 @@
 
 Every step is an aggregation (partial minimum per node, so a hub with very
 many neighbours costs one row per task) and a join that AQE can split; each
-round is written to the shared folder.  Rounds grow with the logarithm of the
+round is one job that writes the edges to the shared folder and measures them
+on the way.  Rounds grow with the logarithm of the
 longest path.
 """
 
@@ -25,21 +26,18 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of an edge; component is the smallest node it reaches."""
-    now = common.cut(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col("u") > F.col("v")).distinct(), "edges")
-    mark = _mark(now)
-    while True:
+    now, before = _written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col("u") > F.col("v")).distinct())
+    while before["rows"]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _star(both, True).where(F.col("u") > F.col("v")).distinct()
-        following = common.cut(_star(large, False).where(F.col("u") > F.col("v")).distinct(), "edges")
+        large = _star(both, True).where(F.col("u") > F.col("v"))
+        following, mark = _written(_star(large, False).where(F.col("u") > F.col("v")).distinct())
         common.remove(now)
-        now, before = following, mark
-        mark = _mark(now)
-        if mark == before:
+        now, before, same = following, mark, mark == before
+        if same:
             break
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def _mark(edges: DataFrame) -> tuple[int, int]:
-    """Number of edges and the sum of their hashes (as decimals): equal only when a round changed nothing."""
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).first()
-    return row.n, int(row.h or 0)
+def _written(edges: DataFrame) -> tuple[DataFrame, dict]:
+    """The edges as a table, their number and the sum of their hashes: equal only when a round changed nothing."""
+    return common.cut_measured(edges, "edges", hashes=F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")), F.lit(0)))

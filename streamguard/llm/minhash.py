@@ -171,9 +171,10 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, pct: int = THRESHOLD_PC
     spark = docs.sparkSession
     parts = common.shards_for(docs)
     sketch = common.cut(sketches(docs, width), "sketches")
-    classes = common.cut(sketch.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = classes.join(sketch, (classes.rep == sketch.doc_id) & (classes.digest == sketch.digest)).select("rep", "n_shingles", "sig", "bands")
-    reps = common.cut(reps.dropDuplicates(["rep"]), "reps")
+    texts_of = sketch.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
+    same = [F.any_value(c).alias(c) for c in ("n_shingles", "sig", "bands")]  # equal for equal word sequences
+    classes = common.cut(texts_of.groupBy("digest").agg(F.min("doc_id").alias("rep"), *same), "classes")
+    reps = common.cut(classes.drop("digest").dropDuplicates(["rep"]), "reps")
     band = reps.select(F.col("rep").alias("id"), F.posexplode("bands").alias("band", "key"))
     buckets = band.groupBy("band", "key").agg(F.min("id").alias("hub"), F.count("*").alias("size")).where(F.col("size") > 1)
     members = common.cut(band.join(buckets, ["band", "key"]).select("band", "key", "id", "hub", "size"), "members")
@@ -189,12 +190,22 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, pct: int = THRESHOLD_PC
 
     first = likely(members.where(F.col("id") != F.col("hub")).select(F.col("hub").alias("a"), F.col("id").alias("b")))
     links = common.cut(_confirm(first, _texts(docs, _ends(first)), width, pct, parts), "links")
-    nodes = common.cut(components(links), "nodes")
+    nodes = components(links)
     # buckets that still hold several components: every pair of different components is compared
     placed = members.where(F.col("size") > 2).join(nodes, members.id == nodes.node, "left").withColumn("component", F.coalesce("component", "id")).drop("node", "hub")
     shares = placed.groupBy("band", "key", "component").agg(F.count("*").alias("n"))
     mixed = shares.groupBy("band", "key").agg(F.count("*").alias("kinds"), F.max_by("component", F.struct("n", "component")).alias("main")).where(F.col("kinds") > 1).drop("kinds")
-    open_ = common.cut(placed.join(mixed, ["band", "key"]).join(sigs, F.col("id") == F.col("rep")).drop("rep"), "open")
+    open_, left = common.cut_measured(placed.join(mixed, ["band", "key"]).join(sigs, F.col("id") == F.col("rep")).drop("rep"), "open")
+    if left["rows"]:
+        nodes = _joined(docs, open_, nodes, width, pct, parts)
+    whole = sketch.join(classes.select("digest", "rep"), "digest", "left")
+    whole = whole.join(nodes, whole.rep == nodes.node, "left")
+    component = F.coalesce("component", "rep", "doc_id")
+    return whole.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def _joined(docs: DataFrame, open_: DataFrame, nodes: DataFrame, width: int, pct: int, parts: int) -> DataFrame:
+    """(node, component) after the comparisons between the components that share an open bucket."""
     small = open_.where(F.col("size") <= PAIRED)
     x, y = (small.select("band", "key", F.col("id").alias(c), F.col("component").alias(f"c{c}"), F.col("n_shingles").alias(f"s{c}"), F.col("sig").alias(f"g{c}")) for c in "ab")
     near = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (100 * F.least("sa", "sb") >= pct * F.greatest("sa", "sb")) & (estimate(F.col("ga"), F.col("gb")) >= pct / 100 - SLACK)
@@ -204,11 +215,11 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, pct: int = THRESHOLD_PC
     wanted = _ends(second).unionByName(large.select(F.col("id").alias("doc_id"))).distinct()
     texts = _texts(docs, wanted)
     more = _confirm(second, texts, width, pct, parts).unionByName(_confirm_blocks(large, texts, width, pct, parts))
-    nodes = common.cut(components(links.unionByName(common.cut(more, "links"))), "nodes")
-    whole = sketch.join(classes, "digest", "left")
-    whole = whole.join(nodes, whole.rep == nodes.node, "left")
-    component = F.coalesce("component", "rep", "doc_id")
-    return whole.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    more, found = common.cut_measured(more, "links")
+    if not found["rows"]:
+        return nodes
+    placed = nodes.where(F.col("node") != F.col("component")).select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return components(placed.unionByName(more))
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -219,8 +230,8 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(doc_id, z) of the wanted documents; a bounded Bloom filter keeps the others out of the shuffle."""
     from .bloom import might_contain
     wanted = common.cut(wanted, "wanted")
-    rows = might_contain(common.plain_ids(docs, "doc_id", "text"), "doc_id", wanted)
-    return common.cut(common.squeeze(rows).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    with might_contain(common.plain_ids(docs, "doc_id", "text"), "doc_id", wanted) as rows:
+        return common.cut(common.squeeze(rows).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
 
 
 def _confirm_blocks(large: DataFrame, texts: DataFrame, width: int, pct: int, parts: int) -> DataFrame:

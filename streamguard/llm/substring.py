@@ -237,9 +237,11 @@ def deduplicate(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, tag, n_removed, kept_text), one row for each text that loses words; ``tag`` is ``text_tags``'."""
     from .bloom import might_contain
     spans = common.cut(repeated_spans(docs, width), "spans")
-    rows = might_contain(common.plain_ids(docs, "doc_id", "text").where(F.col("doc_id").isNotNull()), "doc_id", spans.select("doc_id"))
-    texts = rows.mapInArrow(common.tidy(_tagged), "doc_id long, tag long, z binary").join(spans, ["doc_id", "tag"])
-    return common.cut(texts.mapInArrow(common.tidy(_strip), "doc_id long, tag long, n_removed long, kept_text string"), "stripped").dropDuplicates(["doc_id", "tag"])
+    named = common.plain_ids(docs, "doc_id", "text").where(F.col("doc_id").isNotNull())
+    with might_contain(named, "doc_id", spans.select("doc_id")) as rows:
+        texts = rows.mapInArrow(common.tidy(_tagged), "doc_id long, tag long, z binary").join(spans, ["doc_id", "tag"])
+        out = common.cut(texts.mapInArrow(common.tidy(_strip), "doc_id long, tag long, n_removed long, kept_text string"), "stripped")
+    return out.dropDuplicates(["doc_id", "tag"])
 
 
 def _whole(table: pa.Table):
