@@ -435,7 +435,7 @@ def judge(scored: DataFrame, lower: float = LOWER, upper: float = UPPER) -> Data
     base = scored.where(F.col("grid").isNotNull()).select("lang", "grid", narrow.alias("narrow"))
     mid = _median(base, "grid", "mid")
     spread = _median(base.join(mid, "lang").select("lang", F.floor(F.abs(F.col("grid") - F.col("mid")) * F.col("narrow")).alias("off")), "off", "off")
-    bands = mid.join(spread, "lang").select("lang", (F.col("mid") / GRID).alias("mid"), F.greatest(F.col("off") / GRID * 1.4826, F.lit(LEAST_SPREAD)).alias("spread"))
+    bands = common.cut(mid.join(spread, "lang").select("lang", (F.col("mid") / GRID).alias("mid"), F.greatest(F.col("off") / GRID * 1.4826, F.lit(LEAST_SPREAD)).alias("spread")), "bands")
     out = scored.join(bands, "lang", "left")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
     wide = F.col("spread") / F.greatest(narrow, F.lit(1e-3))
