@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from .. import schema
 from ..functions.numeric import EPS
 from ..functions.quantiles import exact_quantiles
-from . import stream
+from . import gram, stream
 
 # Fixed values.
 MIN_NONNULL_SHARE = 0.5      # drop features with fewer non-null values
@@ -196,6 +196,34 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.col("q2").alias("p75"), "max")
 
 
+def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A4 for every other column: count, distinct values, the most frequent one and its count.
+
+    Values are compared by their text form; of equally frequent ones the smallest is the top.
+    Rows are counted per (column, value) with a map-side combine, then each task's best value
+    per column goes on, so a column of unique values never meets in one task.  Nulls do not
+    count; a column without values has count and unique 0.
+    """
+    d = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns])
+    counts = d.unpivot([], list(columns), "feature", "value").groupBy("feature", "value").agg(
+        F.count("value").alias("c"))
+    seen = F.col("value").isNotNull()
+    best = F.min(F.when(seen, F.struct((-F.col("c")).alias("c"), F.col("value")))).alias("best")
+    return counts.groupBy("feature").agg(
+        F.sum("c").alias("count"), F.count("value").alias("unique"), best).select(
+        "feature", "count", "unique", F.col("best.value").alias("top"), (-F.col("best.c")).alias("freq"))
+
+
+def describe_columns(df: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> DataFrame:
+    """A4 whole: one row per column; numbers have no top, other columns no moments."""
+    none = lambda names, t: [F.lit(None).cast(t).alias(n) for n in names]
+    nums = ["mean", "std", "min", "p25", "p50", "p75", "max"]
+    a = describe(df, numeric).select("feature", "count", *none(["unique"], "bigint"), *none(["top"], "string"),
+                                     *none(["freq"], "bigint"), *nums)
+    b = describe_text(df, text).select("*", *none(nums, "double"))
+    return a.unionByName(b)
+
+
 # ------------------------------------------------------------------ A5 / A6
 
 
@@ -309,21 +337,6 @@ def variance_rank(filled: DataFrame, features: Sequence[str]) -> DataFrame:
     return v.withColumn("variance_rank", F.dense_rank().over(Window.orderBy(rounded(F.col("variance")).desc())))
 
 
-def corr_pairs(df: DataFrame, features: Sequence[str], chunk: int = 150) -> DataFrame:
-    """A10: Pearson correlation of every feature pair (pairwise complete), long output.
-
-    Aggregates are issued in chunks so generated code stays under the JVM method limit.
-    """
-    pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1:]]
-    spark = df.sparkSession
-    rows = []
-    for k in range(0, len(pairs), chunk):
-        part = pairs[k:k + chunk]
-        r = df.agg(*[pearson(dbl(a), dbl(b)).alias(f"c{j}") for j, (a, b) in enumerate(part)]).collect()[0]
-        rows += [(a, b, r[f"c{j}"]) for j, (a, b) in enumerate(part)]
-    return spark.createDataFrame(rows, "feature_a string, feature_b string, corr double")
-
-
 def pearson(x: Column, y: Column) -> Column:
     """Pearson correlation over complete pairs; null when a side is constant (ANSI-safe)."""
     both = x.isNotNull() & y.isNotNull()
@@ -337,13 +350,31 @@ def corr_with_label(df: DataFrame, features: Sequence[str], label: str = "attack
     return long.groupBy("feature").agg(pearson(F.col("value"), F.col(label).cast("double")).alias("corr"))
 
 
-def corr_long(df: DataFrame, features: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
-    """Pairwise Pearson per group, as one aggregate over a pair-expanded long frame."""
-    pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1:]]
-    arr = F.array(*[F.struct(F.lit(a).alias("fa"), F.lit(b).alias("fb"), dbl(a).alias("x"), dbl(b).alias("y"))
-                    for a, b in pairs])
-    e = df.select(*ids, F.explode(arr).alias("p")).select(*ids, "p.*")
-    return e.groupBy(*ids, "fa", "fb").agg(pearson(F.col("x"), F.col("y")).alias("corr"))
+def corr_delta(df: DataFrame, features: Sequence[str], label: str = "attack") -> DataFrame:
+    """Correlation of each feature pair in attack rows minus that in normal rows.
+
+    Per label, features with fewer than half of their values go (the share rounded down) and
+    gaps (null, NaN, infinite) take the label's median; pairs need both features in both labels.  Correlations are
+    cut to [-1, 1]; pairs with a constant side in either label have no row.
+    """
+    df = df.select(label, *[gram.finite(c).alias(c) for c in features])
+    fills, usable = {}, set(features)
+    for lab in (0, 1):
+        prof = feature_profile(df.filter(F.col(label) == lab), features).collect()
+        usable &= {r["feature"] for r in prof if r["nonnull"] >= int(r["n"] * MIN_NONNULL_SHARE)}
+        fills[lab] = {r["feature"]: r["median"] for r in prof}
+    kept = [c for c in features if c in usable]
+    is_attack = F.col(label) == 1
+    filled = df.filter(F.col(label).isin(0, 1)).select(is_attack.alias("_attack"), *[
+        F.coalesce(F.col(f"`{c}`"), F.when(is_attack, F.lit(fills[1][c])).otherwise(F.lit(fills[0][c]))).alias(c)
+        for c in kept])
+    c = gram.correlations(filled, kept, ["_attack"])
+    cut = F.least(F.greatest("corr", F.lit(-1.0)), F.lit(1.0))
+    by_label = c.filter("corr is not null").groupBy("fa", "fb").agg(
+        F.max(F.when(F.col("_attack"), cut)).alias("c1"), F.max(F.when(~F.col("_attack"), cut)).alias("c0"))
+    return by_label.filter("c0 is not null and c1 is not null").select(
+        F.col("fa").alias("feature_a"), F.col("fb").alias("feature_b"),
+        (F.col("c1") - F.col("c0")).alias("corr_delta"))
 
 
 # ------------------------------------------------------------------ A13-A26 (EDA, train split)

@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 from ..operators import features as FE
 from ..operators import stream
-from ..session import prepare, write_table
+from ..session import prepare, shared_path, write_table
 from ..sources import ingest
 from ..sources.packets import packets, read_table
 
 _CACHE: dict[tuple, DataFrame] = {}
+_PATHS: dict[tuple, str] = {}
 
 # Fixed value of the stand-in: configuration revision steps on every 211th packet.
 CONF_REV_STEP = 211
@@ -31,7 +32,8 @@ def _cached(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     k = _key(spark, sf_dir, name)
     if k not in _CACHE:
         prepare(spark)
-        _CACHE[k] = write_table(build(), name, ("split", "attack_type"))
+        _PATHS[k] = shared_path(spark, name)
+        _CACHE[k] = write_table(build(), name, ("split", "attack_type"), _PATHS[k])
         stream.release()
     return _CACHE[k]
 
@@ -49,6 +51,12 @@ def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cached(spark, sf_dir, "typed", build)
 
 
+def typed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of typed packets as a file stream."""
+    schema = typed(spark, sf_dir).schema
+    return spark.readStream.schema(schema).parquet(_PATHS[_key(spark, sf_dir, "typed")])
+
+
 def full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full-mode features F1-F23 (stream columns dropped)."""
     return _cached(spark, sf_dir, "full",
@@ -63,3 +71,4 @@ def new(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clear() -> None:
     _CACHE.clear()
+    _PATHS.clear()

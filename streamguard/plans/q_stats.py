@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import schema
+from ..operators import gram
 from ..operators import sampling as SA
 from ..operators import stats as ST
 from ..operators import stream
@@ -182,6 +183,33 @@ def describe_all(spark, sf):
     return ST.describe(eda(spark, sf), DESCRIBE_COLS)
 
 
+# every other column of the typed packets; source and destination too, numbers are in DESCRIBE_COLS
+DESCRIBE_TEXT = ["attack_type", "gocb_ref", "t", "boolean_raw", "bit_string", "source", "destination", "go_id",
+                 "dat_set"]
+
+
+def _describe_columns_sql() -> str:
+    nums = ("NULL AS \"unique\", CAST(NULL AS VARCHAR) AS top, NULL AS freq")
+    text = ", ".join(f"CAST({_q(c)} AS VARCHAR) AS {_q(c)}" for c in DESCRIBE_TEXT)
+    return O.sql(
+        "SELECT feature, COUNT(value) AS count, " + nums + ", " + O.r("avg(value)", "mean") + ", "
+        + O.r("stddev_samp(value)", "std") + ", " + O.r("min(value)", "min") + ", "
+        + ", ".join(O.r(f"quantile_cont(value, {p})", n) for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")))
+        + ", " + O.r("max(value)", "max") + " FROM " + unpivot("typed", DESCRIBE_COLS, ["packet_id"], TRAIN)
+        + " GROUP BY feature UNION ALL SELECT feature, CAST(SUM(c) AS BIGINT), COUNT(value), "
+        "arg_min(value, (-c, value)), max(c) FILTER (WHERE value IS NOT NULL), "
+        "NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM counts GROUP BY feature",
+        f"counts AS (SELECT feature, value, COUNT(value) AS c FROM (SELECT {text} FROM typed {TRAIN}) "
+        f"UNPIVOT INCLUDE NULLS (value FOR feature IN ({', '.join(_q(c) for c in DESCRIBE_TEXT)})) "
+        "GROUP BY feature, value)")
+
+
+@query("describe_columns", "A4", _describe_columns_sql())
+def describe_columns(spark, sf):
+    """Every column (train): count, moments and quartiles of numbers; unique, top and its count of the others."""
+    return ST.describe_columns(eda(spark, sf), DESCRIBE_COLS, DESCRIBE_TEXT)
+
+
 def _mw_sql(src: str, cols) -> str:
     return f"""
 lv AS (SELECT * FROM {unpivot(src, cols, ['attack_type', 'attack'], TRAIN, nulls=False)} WHERE NOT isnan(value)),
@@ -295,20 +323,45 @@ def corr_sql(a: str, b: str) -> str:
     return (f"(covar_pop({a}, {b}) {f} / nullif(stddev_pop({a}) {f} * stddev_pop({b}) {f}, 0))")
 
 
-def _pairs(cols):
-    return [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+def _numbers_sql(name: str, src: str, cols, where: str) -> str:
+    casts = ", ".join(f"CAST({_q(c)} AS DOUBLE) AS {_q(c)}" for c in cols)
+    return f"{name} AS MATERIALIZED (SELECT row_number() OVER () AS _row, {casts}, attack FROM {src} {where})"
+
+
+def _pairs_sql(name: str, src: str, cols) -> str:
+    """CTEs: ``name`` (fa, fb, c) for every column pair of ``src``, from its values joined with themselves by row."""
+    order = ", ".join(f"({k}, '{c}')" for k, c in enumerate(cols))
+    corr = "covar_pop(a.value, b.value) / nullif(stddev_pop(a.value) * stddev_pop(b.value), 0)"
+    return (f"{name}_o AS (SELECT * FROM (VALUES {order}) v(k, feature)), {name}_v AS MATERIALIZED "
+            f"(SELECT u._row, o.k, u.value FROM (SELECT _row, {', '.join(_q(c) for c in cols)} FROM {src}) "
+            f"UNPIVOT (value FOR feature IN ({', '.join(_q(c) for c in cols)})) u JOIN {name}_o o USING (feature)), "
+            f"{name}_c AS (SELECT a.k AS ka, b.k AS kb, {corr} AS c FROM {name}_v a JOIN {name}_v b "
+            f"ON a._row = b._row AND a.k < b.k GROUP BY a.k, b.k), "
+            f"{name} AS (SELECT x.feature AS fa, y.feature AS fb, c FROM {name}_o x JOIN {name}_o y ON x.k < y.k "
+            f"LEFT JOIN {name}_c ON ka = x.k AND kb = y.k)")
 
 
-_PAIRS_SQL = " UNION ALL ".join(
-    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {O.rx(corr_sql(_q(a), _q(b)))} AS corr "
-    f"FROM typed WHERE split = 'train'" for a, b in _pairs(CORE))
+def _corr_matrix_sql(src: str, cols) -> str:
+    return O.sql("SELECT fa AS feature_a, fb AS feature_b, " + O.r("c", "corr") + " FROM pairs",
+                 _numbers_sql("numbers", src, cols, TRAIN), _pairs_sql("pairs", "numbers", cols),
+                 full=src == "features")
 
 
-@query("corr_matrix", "A10", O.sql(_PAIRS_SQL))
+def _corr_matrix(df, cols):
+    return gram.correlations(df, cols).select(
+        F.col("fa").alias("feature_a"), F.col("fb").alias("feature_b"), "corr")
+
+
+@query("corr_matrix", "A10", _corr_matrix_sql("typed", CORE))
 def corr_matrix(spark, sf):
     """Pearson correlation of every pair of core features (pairwise complete, train)."""
-    c = ST.corr_long(eda(spark, sf), CORE)
-    return c.select(F.col("fa").alias("feature_a"), F.col("fb").alias("feature_b"), "corr")
+    return _corr_matrix(eda(spark, sf), CORE)
+
+
+@query("corr_matrix_full", "A10", _corr_matrix_sql("features", FULL))
+def corr_matrix_full(spark, sf):
+    """Pearson correlation of every pair of full-mode features (pairwise complete, train)."""
+    return _corr_matrix(train_full(spark, sf), FULL)
 
 
 @query("corr_with_label", "A11", O.sql(
@@ -319,46 +372,33 @@ def corr_with_label(spark, sf):
     return ST.corr_with_label(train_full(spark, sf), FULL)
 
 
-def _corr_delta_sql() -> str:
-    parts = []
+def _corr_delta_sql(src: str, cols) -> str:
+    ctes = [_numbers_sql("numbers", src, cols, TRAIN)]
     for lab in (0, 1):
-        filled = ", ".join(
-            f"coalesce(CAST({_q(c)} AS DOUBLE), (SELECT median(CAST({_q(c)} AS DOUBLE)) FROM typed "
-            f"WHERE split = 'train' AND attack = {lab})) AS {_q(c)}" for c in CORE)
-        sel = " UNION ALL ".join(
-            f"SELECT '{a}' AS fa, '{b}' AS fb, {corr_sql(_q(a), _q(b))} AS c FROM f{lab}" for a, b in _pairs(CORE))
-        keep = " AND ".join([])
-        parts.append((f"f{lab} AS (SELECT {filled} FROM typed WHERE split = 'train' AND attack = {lab})",
-                      f"c{lab} AS ({sel})"))
-    share = " UNION ALL ".join(
-        f"SELECT {lab} AS attack, '{c}' AS feature, COUNT({_q(c)}) >= floor(0.5 * COUNT(*)) AS ok FROM typed "
-        f"WHERE split = 'train' AND attack = {lab}" for lab in (0, 1) for c in CORE)
-    return ",".join([p for pair in parts for p in pair] + [f"ok AS ({share})"])
-
-
-@query("corr_delta", "A12", O.sql(
-    "SELECT c1.fa AS feature_a, c1.fb AS feature_b, "
-    + O.r("least(greatest(c1.c, -1), 1) - least(greatest(c0.c, -1), 1)", "corr_delta")
-    + " FROM c0 JOIN c1 ON c0.fa = c1.fa AND c0.fb = c1.fb "
-    "WHERE (SELECT bool_and(ok) FROM ok WHERE feature IN (c1.fa, c1.fb)) "
-    "AND c0.c IS NOT NULL AND c1.c IS NOT NULL", _corr_delta_sql()))
+        ctes.append(f"med{lab} AS (SELECT " + ", ".join(
+            f"median({_q(c)}) AS {_q(c)}, COUNT({_q(c)}) >= floor(0.5 * COUNT(*)) AS \"ok_{c}\"" for c in cols)
+            + f" FROM numbers WHERE attack = {lab})")
+        ctes.append(f"fill{lab} AS MATERIALIZED (SELECT " + ", ".join(
+            f"CASE WHEN m.\"ok_{c}\" THEN coalesce(n.{_q(c)}, m.{_q(c)}) END AS {_q(c)}" for c in cols)
+            + f", n._row FROM numbers n, med{lab} m WHERE attack = {lab})")
+        ctes.append(_pairs_sql(f"c{lab}", f"fill{lab}", cols))
+    return O.sql(
+        "SELECT c1.fa AS feature_a, c1.fb AS feature_b, "
+        + O.r("least(greatest(c1.c, -1), 1) - least(greatest(c0.c, -1), 1)", "corr_delta")
+        + " FROM c0 JOIN c1 USING (fa, fb) WHERE c0.c IS NOT NULL AND c1.c IS NOT NULL",
+        *ctes, full=src == "features")
+
+
+@query("corr_delta", "A12", _corr_delta_sql("typed", CORE))
 def corr_delta(spark, sf):
     """Correlation change (attack minus normal) of core feature pairs after per-label median fill."""
-    df = eda(spark, sf)
-    out = []
-    for lab in (0, 1):
-        sub = df.filter(F.col("attack") == lab)
-        prof = ST.collected(ST.feature_profile(sub, CORE))
-        okf = [r["feature"] for r in prof.filter(F.col("nonnull") >= F.floor(F.col("n") * 0.5)).collect()]
-        med = {r["feature"]: r["median"] for r in prof.collect()}
-        filled = sub.select(*[F.coalesce(ST.dbl(c), F.lit(med[c])).alias(c) if med[c] is not None else ST.dbl(c).alias(c)
-                              for c in CORE])
-        c = ST.corr_long(filled, CORE).filter(F.col("fa").isin(*okf) & F.col("fb").isin(*okf))
-        clip = F.when(F.col("corr").isNotNull(), F.least(F.greatest("corr", F.lit(-1.0)), F.lit(1.0)))
-        out.append(c.select("fa", "fb", clip.alias(f"c{lab}")))
-    j = out[0].join(out[1], on=["fa", "fb"]).filter(F.col("c0").isNotNull() & F.col("c1").isNotNull())
-    return j.select(F.col("fa").alias("feature_a"), F.col("fb").alias("feature_b"),
-                    (F.col("c1") - F.col("c0")).alias("corr_delta"))
+    return ST.corr_delta(eda(spark, sf), CORE)
+
+
+@query("corr_delta_full", "A12", _corr_delta_sql("features", FULL))
+def corr_delta_full(spark, sf):
+    """Correlation change (attack minus normal) of full-mode feature pairs after per-label median fill."""
+    return ST.corr_delta(train_full(spark, sf), FULL)
 
 
 @query("hour_profile", "A13", O.sql(

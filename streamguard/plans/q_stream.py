@@ -305,3 +305,23 @@ def st_stream_rules(spark, sf):
     from ..streaming.rules import replay_as_stream
     return replay_as_stream(spark, ctx.typed(spark, sf)).select(
         "packet_id", "attack_type", "split", "gocb_ref", *_STREAM_COLS)
+
+
+_SILENCE_SQL = O.sql(
+    "SELECT attack_type, split, gocb_ref, " + O.r("min(base_time)", "alive_from") + ", "
+    + O.r("max(valid_until)", "silent_from") + ", COUNT(*) AS n_messages FROM numbered "
+    "GROUP BY attack_type, split, gocb_ref, period HAVING ceil(max(valid_until) * 1000) < "
+    "(SELECT floor(max(base_time) * 1000) - 600000 FROM valid)",
+    "valid AS (SELECT *, base_time + ttl_ms / 1000.0 AS valid_until FROM typed WHERE base_time IS NOT NULL "
+    "AND ttl_ms IS NOT NULL)",
+    "covered AS (SELECT *, max(valid_until) OVER (PARTITION BY attack_type, split, gocb_ref "
+    "ORDER BY base_time, packet_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM valid)",
+    "numbered AS (SELECT *, SUM(CASE WHEN base_time > before THEN 1 ELSE 0 END) OVER (PARTITION BY attack_type, "
+    "split, gocb_ref ORDER BY base_time, packet_id ROWS UNBOUNDED PRECEDING) AS period FROM covered)")
+
+
+@query("st_silences", "stream", _SILENCE_SQL)
+def st_silences(spark, sf):
+    """Periods after which a device fell silent, from event-time timers over the stream of typed packets."""
+    from ..streaming.silence import run_once
+    return run_once(spark, ctx.typed_stream(spark, sf))

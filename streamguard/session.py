@@ -56,10 +56,15 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def write_table(df: DataFrame, name: str, partitions: tuple[str, ...] = ()) -> DataFrame:
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the session's shared folder."""
+    return f"{prepare(spark).sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def write_table(df: DataFrame, name: str, partitions: tuple[str, ...] = (), path: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder, by ``partitions``, and read it back."""
     spark = prepare(df.sparkSession)
-    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    path = path or shared_path(spark, name)
     by = [c for c in partitions if c in df.columns]
     df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
