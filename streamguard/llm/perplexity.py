@@ -272,11 +272,11 @@ def features(texts: Texts) -> dict[str, np.ndarray]:
     newline = np.flatnonzero(data == 10)
     line_start = np.unique(np.concatenate([texts.bounds[:-1], newline + 1])) if len(texts.counts) else np.zeros(0, np.int64)
     line_start = line_start[line_start < n]
-    stops = np.unique(np.concatenate([texts.bounds[1:], newline]))
-    line_end = stops[np.searchsorted(stops, line_start)] if len(line_start) else line_start
-    words = np.searchsorted(texts.start, line_end) - np.searchsorted(texts.start, line_start)
-    line_start, line_end = line_start[words > 0], line_end[words > 0]
+    # a text that starts where others end owns the line; it ends at the next \n or with its own text
     owner = np.searchsorted(texts.bounds, line_start, side="right") - 1
+    line_end = np.minimum(np.append(newline, n)[np.searchsorted(newline, line_start)], texts.bounds[owner + 1])
+    words = np.searchsorted(texts.start, line_end) - np.searchsorted(texts.start, line_start)
+    line_start, line_end, owner = line_start[words > 0], line_end[words > 0], owner[words > 0]
     _, earlier = repeated(owner, texts.byte_hashes(line_start, line_end))
     return {
         "n_words": texts.counts,

@@ -114,6 +114,14 @@ def test_base_counts():
         assert tuple(int(got[c][i]) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == want
 
 
+@pytest.mark.parametrize("texts", [["ab", "a\na"], ["", "a\na\nb"], ["x\n", "", None, "a b\na b", "a b"], ["a\n", "\na\na\n", "a"]])
+def test_first_lines_behind_other_texts_count(texts):
+    import pyarrow as pa
+    got = perplexity.features(Texts(pa.array(texts, pa.string())))["n_dup_lines"].tolist()
+    lines = [[x for x in (t or "").split("\n") if WORD.search(x)] for t in texts]
+    assert got == [len(x) - len(set(x)) for x in lines]
+
+
 def test_junk_is_rejected_and_clean_text_kept(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
