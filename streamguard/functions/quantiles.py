@@ -2,9 +2,10 @@
 
 ``percentile`` keeps every value of a group in memory; ``percentile_approx``
 is bounded but inexact.  ``exact_quantiles`` uses the approximate sketch only
-to bracket the wanted ranks (rank error <= n / accuracy), counts rows per value
-with a map-side combine, and ranks just the distinct values in the bracket: a
-value that most rows share is one row there.  Interpolation is linear between order statistics (numpy / pandas /
+to bracket the wanted ranks (rank error <= n / accuracy), counts the rows below
+each bracket and, with a map-side combine, the rows per value in it, and ranks
+just those distinct values: a value that most rows share is one row there, and
+only the bracket's values are shuffled.  Groups are few (features x classes).  Interpolation is linear between order statistics (numpy / pandas /
 DuckDB ``quantile_cont``).
 """
 
@@ -15,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 1_000_000
+ACCURACY = 10_000  # of the sketch: its size per group and task, not that of the result
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, groups: Sequence[str], probs: Sequence[float],
@@ -27,13 +28,12 @@ def exact_quantiles(df: DataFrame, value: str | Column, groups: Sequence[str], p
     if whole:
         df, groups = df.withColumn("_all", F.lit(0)), ["_all"]
     d = df.select(*groups, v.alias("_v")).filter(F.col("_v").isNotNull())
-    delta = 4.0 / accuracy
+    delta = 10.0 / accuracy
     lo_p = [max(0.0, p - delta) for p in probs]
     hi_p = [min(1.0, p + delta) for p in probs]
     stats = d.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", lo_p, accuracy).alias("_lo"),
-        F.percentile_approx("_v", hi_p, accuracy).alias("_hi"),
+        F.percentile_approx("_v", lo_p + hi_p, accuracy).alias("_q"),
         F.min("_v").alias("_min"),
         F.max("_v").alias("_max"),
     )
@@ -43,16 +43,19 @@ def exact_quantiles(df: DataFrame, value: str | Column, groups: Sequence[str], p
         # Small groups (below 2 / delta rows) are ranked whole: the sketch's
         # discrete rank offset is only covered by the margin beyond that size.
         small = F.col("_n") * F.lit(delta) < 2
-        lo = F.when(small, F.col("_min")).otherwise(F.col("_lo")[i])
-        hi = F.when(small, F.col("_max")).otherwise(F.col("_hi")[i])
+        lo = F.when(small, F.col("_min")).otherwise(F.col("_q")[i])
+        hi = F.when(small, F.col("_max")).otherwise(F.col("_q")[len(probs) + i])
         rows.append(F.struct(F.lit(i).alias("i"), lo.alias("lo"), hi.alias("hi"),
                              F.floor(h).cast("bigint").alias("k"), (h - F.floor(h)).alias("frac")))
     brackets = stats.select(*groups, "_n", F.explode(F.array(*rows)).alias("b")).select(
         *groups, "_n", "b.*")
-    # Counts per value, so a value that most rows share is one row from here on.
-    counted = d.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_c")).join(brackets, on=groups, how="inner")
-    below = counted.groupBy(*groups, "i").agg(F.sum(F.when(F.col("_v") < F.col("lo"), F.col("_c")).otherwise(0)).alias("_below"))
-    inside = counted.filter((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
+    # Values below the bracket are one row, those in it a row per value, those above drop out.
+    held = d.join(F.broadcast(brackets), on=groups, how="inner").filter(F.col("_v") <= F.col("hi"))
+    under = F.col("_v") < F.col("lo")
+    counted = held.groupBy(*groups, "i", F.when(~under, F.col("_v")).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_c"), F.first("lo").alias("lo"), F.first("k").alias("k"), F.first("frac").alias("frac"))
+    below = counted.groupBy(*groups, "i").agg(F.sum(F.when(F.col("_v").isNull(), F.col("_c")).otherwise(0)).alias("_below"))
+    inside = counted.filter(F.col("_v").isNotNull())
     w = Window.partitionBy(*groups, "i").orderBy("_v")
     # a value holds the ranks from _r - _c to _r - 1
     ranked = inside.join(below, on=groups + ["i"]).withColumn("_r", F.col("_below") + F.sum("_c").over(w))

@@ -45,6 +45,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     # persisted stream frames keep their hash partitioning, so windows over them add no shuffle
     spark.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "false")
+    # sketches of features x classes stay in hash tables: beyond 128 groups Spark would sort all values instead
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "1024")
     if not spark.sparkContext.getCheckpointDir():
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
