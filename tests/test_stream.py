@@ -156,3 +156,21 @@ def test_features_do_not_depend_on_segments(spark):
         out.append(sorted([tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in full.select(*cols).collect()]))
         stream.release()
     assert out[0] == out[1]
+
+
+def _joins(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Join")
+
+
+def test_streams_of_one_segment_need_no_edge_rows(spark):
+    """Only keys that were cut repair their edges; the features are those of plain windows for both kinds."""
+    rows = [(k, i, float(i * 7 % 31)) for k, n in (("a", 40), ("b", 3), ("c", 1)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, i long, x double")
+    build = lambda d, w: d.withColumn("prev", F.lag("x", 2).over(w))
+    want = {(r.k, r.i): r.prev for r in build(df, Window.partitionBy("k").orderBy("i")).collect()}
+    whole = stream.windowed(stream.segmented(df, ["k"], "i"), ["k"], [F.col("i")], build, 2)
+    cut = stream.windowed(stream.segmented(df, ["k"], "i", 10), ["k"], [F.col("i")], build, 2)
+    assert _joins(whole) == 0 and _joins(cut) > 0
+    for got in (whole, cut):
+        assert {(r.k, r.i): r.prev for r in got.collect()} == want
+    stream.release()
