@@ -100,3 +100,18 @@ def test_one_class_flags_at_most_its_share(spark):
     assert 20 <= tr.agg(F.sum("pred")).first()[0] <= 30 and te.count() == 600
     a, b = MD.isolation_forest(df, df, ["a", "b", "c"], 0.05)
     assert a.agg(F.sum("pred")).first()[0] <= 30 and b.filter("packet_id % 20 = 0").agg(F.avg("pred")).first()[0] > 0.8
+
+
+def test_kmeans_restarts_step_side_by_side(spark):
+    """The passes shared by all restarts end at the costs of separate fits; the model is that of the cheapest seed."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+    rng = np.random.default_rng(6)
+    x = rng.normal(0, 1, (500, 3)) + rng.integers(0, 7, 500)[:, None] * 1.5
+    df = spark.createDataFrame([(x[i].tolist(),) for i in range(500)], "a array<double>").select(array_to_vector("a").alias("features")).persist()
+    fits = [KMeans(k=4, seed=MD.SEED + i, maxIter=30).fit(df) for i in range(3)]
+    starts = [np.stack(KMeans(k=4, seed=MD.SEED + i, maxIter=0).fit(df).clusterCenters()) for i in range(3)]
+    want = [f.summary.trainingCost for f in fits]
+    assert np.allclose(MD.restart_costs(df, starts, 30, 1e-4), want, rtol=1e-9)
+    got = MD.kmeans_restarts(df, 4, 30, 3)
+    assert np.allclose(got.clusterCenters(), fits[int(np.argmin([float(f"{c:.8e}") for c in want]))].clusterCenters())
