@@ -54,11 +54,9 @@ def exact_quantiles(df: DataFrame, value: str | Column, groups: Sequence[str], p
     under = F.col("_v") < F.col("lo")
     counted = held.groupBy(*groups, "i", F.when(~under, F.col("_v")).alias("_v")).agg(
         F.count(F.lit(1)).alias("_c"), F.first("lo").alias("lo"), F.first("k").alias("k"), F.first("frac").alias("frac"))
-    below = counted.groupBy(*groups, "i").agg(F.sum(F.when(F.col("_v").isNull(), F.col("_c")).otherwise(0)).alias("_below"))
-    inside = counted.filter(F.col("_v").isNotNull())
-    w = Window.partitionBy(*groups, "i").orderBy("_v")
-    # a value holds the ranks from _r - _c to _r - 1
-    ranked = inside.join(below, on=groups + ["i"]).withColumn("_r", F.col("_below") + F.sum("_c").over(w))
+    w = Window.partitionBy(*groups, "i").orderBy(F.col("_v").asc_nulls_first())
+    # the row of the values below comes first; a value holds the ranks from _r - _c to _r - 1
+    ranked = counted.withColumn("_r", F.sum("_c").over(w)).filter(F.col("_v").isNotNull())
     holds = lambda k: (F.col("_r") - F.col("_c") <= k) & (k < F.col("_r"))
     ranked = ranked.filter(holds(F.col("k")) | holds(F.col("k") + 1))
     picked = ranked.groupBy(*groups, "i").agg(

@@ -103,12 +103,20 @@ def variances(df: DataFrame, features: Sequence[str]) -> dict[str, float | None]
     Merged partial variances of a constant column come out as ~1e-33 rather
     than 0, so constancy is decided by min == max, which is exact.
     """
+    return variances_and_moments(df, features)[0]
+
+
+def variances_and_moments(df: DataFrame, features: Sequence[str]) -> tuple[dict[str, float | None], dict[str, tuple[float, float]]]:
+    """``variances`` and ``moments`` of the same features from one wide aggregate."""
+    if not features:
+        return {}, {}
     aggs = []
     for c in features:
-        aggs += [F.var_samp(dbl(c)).alias(f"v__{c}"), (F.max(dbl(c)) > F.min(dbl(c))).alias(f"d__{c}")]
+        aggs += [F.var_samp(dbl(c)).alias(f"v__{c}"), (F.max(dbl(c)) > F.min(dbl(c))).alias(f"d__{c}"),
+                 F.avg(dbl(c)).alias(f"m__{c}"), F.stddev_pop(dbl(c)).alias(f"s__{c}")]
     row = df.agg(*aggs).collect()[0]
-    return {c: (row[f"v__{c}"] if row[f"d__{c}"] else (0.0 if row[f"v__{c}"] is not None else None))
-            for c in features}
+    var = {c: (row[f"v__{c}"] if row[f"d__{c}"] else (0.0 if row[f"v__{c}"] is not None else None)) for c in features}
+    return var, {c: (row[f"m__{c}"], row[f"s__{c}"]) for c in features}
 
 
 def moments(df: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float]]:
@@ -151,10 +159,9 @@ def prepare(train: DataFrame, features: Sequence[str], strict: bool = False,
     kept = [c for c in features if c in kept]
     medians = {r["feature"]: r["median"] for r in prof.select("feature", "median").collect()}
     filled = impute(train, medians, kept)
-    var = variances(filled, kept)
+    var, mom = variances_and_moments(filled, kept)
     kept = [c for c in kept if var[c] is not None and var[c] > 0]
-    mom = moments(filled, kept) if scale else {}
-    return kept, medians, mom
+    return kept, medians, {c: mom[c] for c in kept} if scale else {}
 
 
 def clean_matrix(df: DataFrame, kept: Sequence[str], medians: Mapping, mom: Mapping) -> DataFrame:

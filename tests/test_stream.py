@@ -174,3 +174,12 @@ def test_streams_of_one_segment_need_no_edge_rows(spark):
     for got in (whole, cut):
         assert {(r.k, r.i): r.prev for r in got.collect()} == want
     stream.release()
+
+
+def test_exact_quantiles_count_the_values_once(spark):
+    """The rows below a bracket and those per value come from one pass; two for the brackets and the values."""
+    df = spark.createDataFrame([(g, float(i % 7)) for g in ("a", "b") for i in range(500)], "g string, x double")
+    q = exact_quantiles(df, "x", ["g"], [0.25, 0.5])
+    assert q._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 2
+    want = np.quantile([float(i % 7) for i in range(500)], [0.25, 0.5]).tolist()
+    assert {r.g: [r.q0, r.q1] for r in q.collect()} == {"a": want, "b": want}
