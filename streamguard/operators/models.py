@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from ..functions.quantiles import exact_quantiles
 from ..session import cut_lineage
 from . import stats as ST
+from . import stream
 from .detect import top_share
 
 SEED = 42  # fixed values of the reference's model settings
@@ -422,21 +423,24 @@ def reconstruction_detector(train: DataFrame, test: DataFrame, features: Sequenc
                             id_col: str = "packet_id") -> DataFrame:
     """Pseudo labels from reconstruction error (top share), a classifier on the latent code, relabel, refit.
 
-    Each round's labels are cut from lineage with a checkpoint (the iterative
-    loop stays short and survives executor loss).
+    The training rows' codes and each round's labels are cut from lineage (the
+    iterative loop stays short and survives executor loss), and the frames that
+    ranked them are let go.
     """
     codes, zcols = latent_model(train, features)
-    lat_tr, lat_te = codes(train), codes(test)
-    lab = top_share(lat_tr.select(id_col, "recon_error", *zcols), "recon_error", contamination)
+    lat_tr, lat_te = cut_lineage(codes(train).select(id_col, "recon_error", *zcols)), codes(test)
+    lab = top_share(lat_tr, "recon_error", contamination)
     lab = lab.withColumn("_y", F.col("flagged").cast("double"))
     va = VectorAssembler(inputCols=zcols, outputCol="latent")
     model = None
     for _ in range(rounds):
-        lab = lab.checkpoint(eager=True)
+        lab = cut_lineage(lab)
+        stream.release()
         model = LogisticRegression(featuresCol="latent", labelCol="_y", maxIter=50).fit(va.transform(lab))
         p1 = model.transform(va.transform(lab)).select(
             id_col, "recon_error", *zcols, vector_to_array("probability")[1].alias("_p1"))
         lab = top_share(p1, "_p1", contamination).withColumn("_y", F.col("flagged").cast("double")).drop("_p1")
+    stream.release()
     out = model.transform(va.transform(lat_te))
     return out.select(id_col, "recon_error", vector_to_array("probability")[1].alias("attack_prob"),
                       F.col("prediction").cast("int").alias("pred"))

@@ -115,3 +115,21 @@ def test_kmeans_restarts_step_side_by_side(spark):
     assert np.allclose(MD.restart_costs(df, starts, 30, 1e-4), want, rtol=1e-9)
     got = MD.kmeans_restarts(df, 4, 30, 3)
     assert np.allclose(got.clusterCenters(), fits[int(np.argmin([float(f"{c:.8e}") for c in want]))].clusterCenters())
+
+
+def test_pseudo_labels_rank_rows_cut_from_lineage(spark, monkeypatch):
+    """The codes are computed once, and the ranked frames are let go."""
+    from streamguard.operators import stream
+    plans = []
+
+    def ranked(df, *args):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return top_share(df, *args)
+    monkeypatch.setattr(MD, "top_share", ranked)
+    rng = np.random.default_rng(7)
+    rows = [(i, *map(float, rng.normal(0, 1, 3) + (9 if i % 20 == 0 else 0))) for i in range(300)]
+    df = spark.createDataFrame(rows, "packet_id long, a double, b double, c double")
+    stream.release()
+    out = MD.reconstruction_detector(df, df, ["a", "b", "c"], 0.05)
+    assert len(plans) == 3 and not any("latent" in p.replace("latent#", "") and "Python" in p for p in plans)
+    assert not stream._PERSISTED and out.count() == 300
