@@ -321,3 +321,26 @@ def test_every_term_of_a_licence_line_weighs_by_its_documents(spark):
         assert rows[0].licence == "MIT" and abs(rows[0].cosine - want) < 2e-6
         got.append(rows[0].cosine)
     assert got[1] > 0.9
+
+
+def test_word_hashes_hold_a_bounded_part_of_a_chunk():
+    """Prefix sums of a chunk's bytes are held block by block; long texts, empty ones and any order give the same hashes."""
+    import pyarrow as pa
+    import tracemalloc
+    from streamguard.llm import wordhash
+    rng = random.Random(4)
+    words = [" ".join(f"w{rng.randrange(5000)}" for _ in range(n)) for n in [300] * 900 + [60_000, 0, 0, 5]]
+    chunk = Texts(pa.array(words))
+    whole = wordhash.range_hashes(wordhash._byte_values()[chunk.data], chunk.start, chunk.end)
+    texts = wordhash.range_hashes(wordhash._byte_values()[chunk.data], chunk.bounds[:-1], chunk.bounds[1:])
+    assert (chunk.byte_hashes(chunk.bounds[:-1], chunk.bounds[1:]) == texts).all()
+    assert (chunk.byte_hashes(chunk.start[::-1], chunk.end[::-1]) == whole[::-1]).all()
+    wordhash._powers.clear()
+    tracemalloc.start()
+    try:
+        got = chunk.word_hashes()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (got == whole).all()
+    assert peak < 12 * len(chunk.data)
