@@ -8,7 +8,9 @@ cells: the epsilon grid order.  The sequence is cut into intervals of at most
 with itself from the root down: a pair of intervals is split into the pairs
 of their children, and pairs whose boxes lie further apart than eps are
 dropped with all that is below them.  What is left are pairs of leaf
-intervals, compared by one matrix product each in double precision.
+intervals, compared by one matrix product each in double precision.  They are
+dealt by tiles of neighbouring leaves, so that a leaf's vectors are sent once
+per tile.
 
 Equal vectors are one row of the join, with their number, so a vector that a
 third of all rows share costs one row.  Leaf pairs return counts per vector
@@ -33,8 +35,8 @@ from .components import components
 
 COSINE = 0.9
 AXES, LEAF, FAN_OUT_BITS = 6, 1024, 2
-#: Partners of one leaf that a task compares before another task takes the rest.
-PARTNERS = 16
+#: Bytes of vectors, in double precision, that a task holds of one side of a tile of leaf pairs.
+TILE_BYTES = 32 << 20
 
 
 def _matrix(lists: pa.Array, dim: int) -> np.ndarray:
@@ -129,39 +131,55 @@ def _leaf_pairs(leaves: DataFrame, eps: float, k: int) -> DataFrame:
 
 
 def _compare(batches, dim: int, cosine: float):
-    """Leaf a, then its partners: links per vector (weighted) and the smallest vector reached."""
-    now, mine = None, None
+    """The leaves of a tile's first side, then those of its second with their partners: links per vector (weighted) and the smallest vector reached."""
+    now, held = None, {}
     for batch in batches:
         for row in batch.to_pylist():
             kind = np.float64 if len(row["vectors"]) == len(row["ids"]) * dim else np.float32
             x = np.frombuffer(row["vectors"], kind).astype(np.float64).reshape(-1, dim)
             other = (np.frombuffer(row["ids"], np.int64), np.frombuffer(row["weights"], np.int64), x / np.sqrt((x * x).sum(axis=1, keepdims=True)))
-            if row["b"] is None:
-                now, mine = (row["a"], row["salt"]), other
+            if now != (row["ta"], row["tb"]):
+                now, held = (row["ta"], row["tb"]), {}
+            if row["partners"] is None:
+                held[row["leaf"]] = other
                 continue
-            assert now == (row["a"], row["salt"])
-            ids, weights, vectors = mine
-            linked = vectors @ other[2].T >= cosine
-            if row["b"] == row["a"]:
-                np.fill_diagonal(linked, False)
-            some, cols = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
-            if not len(some):
-                continue
-            linked = linked[np.ix_(some, cols)]
-            la, lb = ids[some], other[0][cols]
-            high = np.iinfo(np.int64).max
-            while True:  # smallest id within the pair's links
-                na = np.minimum(la, np.where(linked, lb[None, :], high).min(axis=1))
-                nb = np.minimum(lb, np.where(linked, na[:, None], high).min(axis=0))
-                if (na == la).all() and (nb == lb).all():
-                    break
-                la, lb = na, nb
-            counts = linked @ other[1][cols]
-            out = [(ids[some], counts, la)]
-            if row["b"] != row["a"]:
-                out.append((other[0][cols], linked.T @ weights[some], lb))
-            for i, n, low in out:
-                yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(n.astype(np.int64)), pa.array(low)], names=["id", "links", "low"])
+            for a in row["partners"]:
+                yield from _links(held[a], other, a == row["leaf"], cosine)
+
+
+def _links(mine: tuple, other: tuple, same: bool, cosine: float):
+    """Links between two leaves, or within one."""
+    ids, weights, vectors = mine
+    linked = vectors @ other[2].T >= cosine
+    if same:
+        np.fill_diagonal(linked, False)
+    some, cols = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
+    if not len(some):
+        return
+    linked = linked[np.ix_(some, cols)]
+    la, lb = ids[some], other[0][cols]
+    high = np.iinfo(np.int64).max
+    while True:  # smallest id within the pair's links
+        na = np.minimum(la, np.where(linked, lb[None, :], high).min(axis=1))
+        nb = np.minimum(lb, np.where(linked, na[:, None], high).min(axis=0))
+        if (na == la).all() and (nb == lb).all():
+            break
+        la, lb = na, nb
+    counts = linked @ other[1][cols]
+    out = [(ids[some], counts, la)]
+    if not same:
+        out.append((other[0][cols], linked.T @ weights[some], lb))
+    for i, n, low in out:
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(n.astype(np.int64)), pa.array(low)], names=["id", "links", "low"])
+
+
+def _dealt(pairs: DataFrame, body: DataFrame, width: int, parts: int) -> DataFrame:
+    """Leaf pairs by tiles of ``width`` x ``width`` neighbouring leaves: a leaf's vectors go once to each tile that compares it, not once per pair."""
+    pairs = pairs.withColumn("ta", F.floor(F.col("a") / width)).withColumn("tb", F.floor(F.col("b") / width))
+    columns = ["ta", "tb", "partners", "leaf", "ids", "weights", "vectors"]
+    left = pairs.select("ta", "tb", "a", F.lit(None).cast("array<long>").alias("partners")).distinct().join(body, F.col("a") == F.col("leaf")).select(*columns)
+    right = pairs.groupBy("ta", "tb", "b").agg(F.collect_list("a").alias("partners")).join(body, F.col("b") == F.col("leaf")).select(*columns)
+    return left.unionByName(right).repartition(parts, "ta", "tb").sortWithinPartitions("ta", "tb", F.col("partners").isNotNull(), "leaf")
 
 
 def _join(classes: DataFrame, dim: int, cosine: float) -> DataFrame:
@@ -169,13 +187,11 @@ def _join(classes: DataFrame, dim: int, cosine: float) -> DataFrame:
     eps = float(np.sqrt(2 - 2 * cosine))
     leaves = common.cut(_leaves(classes, dim, eps), "leaves")
     pairs = _leaf_pairs(leaves, eps, min(AXES, dim))
-    salt = F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / PARTNERS)).cast("int")
-    pairs = pairs.join(pairs.groupBy("a").agg(F.count("*").alias("n")), "a").select("a", "b", salt.alias("salt"))
-    body = leaves.select("leaf", "ids", "weights", "vectors")
-    left = pairs.select("a", "salt").distinct().join(body, F.col("a") == F.col("leaf")).select("a", "salt", F.lit(None).cast("long").alias("b"), "ids", "weights", "vectors")
-    right = pairs.join(body, F.col("b") == F.col("leaf")).select("a", "salt", "b", "ids", "weights", "vectors")
+    n, cores = leaves.count(), classes.sparkSession.sparkContext.defaultParallelism
+    # a tile's first side fits TILE_BYTES; small tables are cut finer, to give all cores work
+    width = max(1, min(TILE_BYTES // (LEAF * dim * 8), -(-n // int(np.ceil(np.sqrt(4 * cores))))))
     parts = max(common.shards_for(classes), int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = left.unionByName(right).repartition(parts, "a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+    dealt = _dealt(pairs, leaves.select("leaf", "ids", "weights", "vectors"), width, parts)
     return dealt.mapInArrow(common.tidy(lambda b: _compare(b, dim, cosine)), "id long, links long, low long")
 
 

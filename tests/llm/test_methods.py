@@ -344,3 +344,24 @@ def test_word_hashes_hold_a_bounded_part_of_a_chunk():
         tracemalloc.stop()
     assert (got == whole).all()
     assert peak < 12 * len(chunk.data)
+
+
+@pytest.mark.parametrize("tile_bytes", [1, 3 * 16 * 5 * 8, 32 << 20])
+def test_leaves_are_sent_once_per_tile(spark, monkeypatch, tile_bytes):
+    """Links and components of a crowded cloud, whatever the tiles; the rows sent follow the tiles, not the pairs."""
+    from streamguard.llm import gridjoin
+    monkeypatch.setattr(gridjoin, "LEAF", 16)
+    monkeypatch.setattr(gridjoin, "TILE_BYTES", tile_bytes)
+    seen, dealt = [], gridjoin._dealt
+    monkeypatch.setattr(gridjoin, "_dealt", lambda pairs, *rest: seen.append((pairs.count(), rest[1], (out := dealt(pairs, *rest)).count())) or out)
+    rng = np.random.default_rng(8)
+    x = (rng.normal(size=(300, 5)) + [2, 0, 0, 0, 0]).astype(np.float32)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in gridjoin.near_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")).collect()}
+    z = x.astype(float) / np.sqrt((x.astype(float) ** 2).sum(axis=1, keepdims=True))
+    near = z @ z.T >= gridjoin.COSINE
+    low = np.arange(300)
+    while (new := np.where(near, low[None, :], 300).min(axis=1)).tolist() != low.tolist():
+        low = new
+    assert got == {i: (int(near[i].sum()) - 1, int(low[i])) for i in range(300)}
+    pairs, width, sent = seen[0]
+    assert width == max(1, min(tile_bytes // 640, width)) and (width == 1 or sent < pairs)
