@@ -30,8 +30,8 @@ from . import common
 from .wordhash import Texts, U, joined, mix
 
 WIDTH = 13
-#: Text bytes of a chunk: larger ones send shared passages and document names less often.
-CHUNK_BYTES = 2 << 20
+#: Text bytes of a chunk: larger ones send shared passages and document names less often, and hold more.
+CHUNK_BYTES = 1 << 20
 
 
 def _planes(sorted_values: np.ndarray) -> bytes:
