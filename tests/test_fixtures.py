@@ -9,6 +9,7 @@ from conftest import typed_rows
 from streamguard.functions import parsing as P
 from streamguard.operators import features as FE
 from streamguard.operators import stats as ST
+from streamguard.sources import ingest
 
 COLS = "packet_id long, attack_type string, split string, gocb_ref string, time_s double, t string, " \
        "st_num long, sq_num long, ttl_ms long, length long, boolean_raw string, bit_string string, attack int"
@@ -121,3 +122,16 @@ def test_knn_returns_every_test_point(spark):
     test = spark.createDataFrame([(1000 + i, [rng.random() * 1e6, rng.random()]) for i in range(9)], "packet_id long, v array<double>")
     got = knn_assign(train, test, "packet_id", "v", "y").collect()
     assert sorted(r.packet_id for r in got) == list(range(1000, 1009)) and all(r.pred is not None for r in got)
+
+
+def test_typing_reads_each_text_once(spark):
+    hexes = ["0", "000", "0x1F", "Ff ", "123456789abcdef", "0" * 20 + "fedcba9876543210f", "f" * 31, "f" * 32, "", "xyz", "12.5", None]
+    rows = [(i, "IED1", float(i), "true, OFF ,maybe,1" if i % 2 else None, h) for i, h in enumerate(hexes)]
+    out = ingest.typed_packets(spark.createDataFrame(rows, "packet_id long, gocb_ref string, time_s double, boolean_raw string, bit_string string"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 1
+    text = [None if h is None else h.strip().lower().replace("0x", "") for h in hexes]
+    value = [int(t, 16) if t and all(c in "0123456789abcdef" for c in t) else None for t in text]
+    got = out.orderBy("packet_id").collect()
+    assert [None if r.bitstring_int is None else int(r.bitstring_int) for r in got] == [None if v is None or v >= 16 ** 31 else v for v in value]
+    assert [r.bitstring_bitcount for r in got] == [None if v is None else v.bit_count() for v in value]
+    assert [(r.boolean_1, r.boolean_2, r.boolean_3) for r in got] == [(1.0, 0.0, None) if i % 2 else (None,) * 3 for i in range(len(hexes))]

@@ -183,3 +183,22 @@ def test_exact_quantiles_count_the_values_once(spark):
     assert q._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 2
     want = np.quantile([float(i % 7) for i in range(500)], [0.25, 0.5]).tolist()
     assert {r.g: [r.q0, r.q1] for r in q.collect()} == {"a": want, "b": want}
+
+
+def test_carried_values_of_runs_share_one_window(spark):
+    df = spark.createDataFrame([("a", i, i % 3 == 0) for i in range(9)], "k string, i int, f boolean")
+    out = stream.runs(stream.segmented(df, ["k"], "i"), ["k"], [F.col("i")], F.col("f"), F.col("i"), "r")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert any("AS _cs" in line and "AS _lc" in line for line in plan.split("\n"))
+    assert [(r.r_id, r.r_pos, r.r_start) for r in out.orderBy("i").collect()] == [(1 + i // 3, i % 3, i - i % 3) for i in range(9)]
+    stream.release()
+
+
+def test_shared_tables_are_written_in_the_order_of_their_streams(spark, tmp_path):
+    from streamguard.plans import context
+    events = spark.range(40).selectExpr("id AS event_id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id) AS ts", "id % 8 AS user_id",
+                                        "IF(id % 3 = 0, 'signup', 'view') AS event_type", "CAST(id AS DOUBLE) AS value", "'{\"k\": 3}' AS props")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    full = context.full(spark, str(tmp_path))
+    assert full.count() == 40
+    assert all("/attack_type=" in f and "/split=" in f and f.index("/attack_type=") < f.index("/split=") for f in full.inputFiles())
