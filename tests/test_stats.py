@@ -95,3 +95,28 @@ def test_describe_text_of_a_column_of_unique_values(spark):
     df = spark.range(50_000).select(F.col("id").cast("string").alias("u"), F.lit("k").alias("k"))
     got = {r[0]: tuple(r)[1:] for r in ST.describe_text(df, ["u", "k"]).collect()}
     assert got == {"u": (50_000, 50_000, "0", 1), "k": (50_000, 1, "k", 50_000)}
+
+
+def test_variances_ask_for_nothing_else(spark):
+    df = spark.createDataFrame([(1.0, 2.0, None), (3.0, 2.0, None), (None, 2.0, None)], "a double, b double, c double")
+    asked = []
+
+    class Watched:
+        def agg(self, *cols):
+            asked.extend(cols)
+            return df.agg(*cols)
+    assert ST.variances(Watched(), ["a", "b", "c"]) == {"a": 2.0, "b": 0.0, "c": None}
+    assert len(asked) == 6
+    assert ST.variances(df, []) == {}
+
+
+def test_wide_stages_stay_within_methods_that_the_jvm_compiles(spark):
+    from streamguard.operators.prepare import Prepared
+    from streamguard.session import prepare
+    prepare(spark)
+    names = [f"x{i}" for i in range(41)]
+    df = spark.range(64).select("id", *[(F.col("id") * (i + 3) % 17).cast("double").alias(c) for i, c in enumerate(names)])
+    out = Prepared.fit(df, names).transform(df)
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000  # HotSpot's own limit
+    rows = out.collect()
+    assert len(rows) == 64 and all(abs(sum(r[c] for r in rows)) < 1e-9 for c in names)
