@@ -115,7 +115,7 @@ def test_wide_stages_stay_within_methods_that_the_jvm_compiles(spark):
     from streamguard.session import prepare
     prepare(spark)
     names = [f"x{i}" for i in range(41)]
-    df = spark.range(64).select("id", *[(F.col("id") * (i + 3) % 17).cast("double").alias(c) for i, c in enumerate(names)])
+    df = spark.range(64).select("id", *[(F.col("id") * (i + 3) % 101).cast("double").alias(c) for i, c in enumerate(names)])
     out = Prepared.fit(df, names).transform(df)
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000  # HotSpot's own limit
     rows = out.collect()
