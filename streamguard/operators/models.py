@@ -145,6 +145,9 @@ def latent_model(train: DataFrame, features: Sequence[str], k: int = LATENT_DIM,
         for i in range(width):
             err += (x[:, i] - rec[:, i]) ** 2
         return pd.Series(list(np.concatenate([z, err[:, None] / width], axis=1)))
+    # a filter on its results stays above it: below, the optimizer would write the filter out in every
+    # mixture of a feature's name and its expression, 2 ** features of them
+    latent = latent.asNondeterministic()
 
     def apply(df: DataFrame) -> DataFrame:
         z = mx.z(df)

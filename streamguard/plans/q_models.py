@@ -18,6 +18,7 @@ from ..operators import neighbors as NB
 from ..operators import stats as ST
 from ..operators import stream
 from ..operators.detect import top_share
+from ..session import cut_lineage
 from . import context as ctx
 from . import detection as DT
 from . import oracles as O
@@ -434,11 +435,13 @@ def recon_error_stats(spark, sf):
     """Mean / std of reconstruction error by split x label and the train threshold at index int(n (1 - c))."""
     tr, te = _train_test(spark, sf)
     codes, _ = MD.latent_model(tr, DETECT)
-    a, b = codes(tr), codes(te)
-    both = a.select("packet_id", "attack", "recon_error", F.lit("train").alias("split")).unionByName(
-        b.select("packet_id", "attack", "recon_error", F.lit("test").alias("split")))
+    errors = lambda d: codes(d).select("packet_id", "attack", "recon_error")
+    a, b = cut_lineage(errors(tr)), errors(te)  # the training errors are also ranked
+    both = a.withColumn("split", F.lit("train")).unionByName(b.withColumn("split", F.lit("test")))
     stats = both.groupBy("split", "attack").agg(F.avg("recon_error").alias("mean_error"),
                                                F.stddev_samp("recon_error").alias("std_error"))
     flagged = top_share(a.select("packet_id", "recon_error"), "recon_error", MD.UCAD_CONTAMINATION)
     thr = flagged.filter(F.col("flagged") == 1).agg(F.min("recon_error").alias("threshold"))
-    return stats.withColumn("threshold", F.lit(thr.first()[0]))
+    least = thr.first()[0]
+    stream.release()
+    return stats.withColumn("threshold", F.lit(least))

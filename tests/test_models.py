@@ -150,3 +150,14 @@ def test_forest_paths_equal_a_walk_down_each_tree():
         return depth + float(rest(nodes[at, 6]))
     got = MD._path_lengths(x, [MD._flat_tree(t, rest) for t in trees])
     assert got.tolist() == [sum((walk(row, t) for t in trees), 0.0) for row in x]
+
+
+def test_a_filter_on_the_reconstruction_error_stays_above_the_codes(spark):
+    """Pushed below them it was written out in every mixture of the features' names and expressions, and filled the driver."""
+    rng = np.random.default_rng(8)
+    cols = [f"f{i}" for i in range(8)]
+    df = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(rng.normal(0, 1, (60, 8)))], "packet_id long, " + ", ".join(f"{c} double" for c in cols))
+    apply, _ = MD.latent_model(df, cols, 3)
+    held = apply(df).select("packet_id", "recon_error").filter(F.col("recon_error").isNotNull())
+    assert held._jdf.queryExecution().optimizedPlan().toString().count("latent(") == 1
+    assert held.count() == 60
