@@ -161,3 +161,52 @@ def test_a_filter_on_the_reconstruction_error_stays_above_the_codes(spark):
     held = apply(df).select("packet_id", "recon_error").filter(F.col("recon_error").isNotNull())
     assert held._jdf.queryExecution().optimizedPlan().toString().count("latent(") == 1
     assert held.count() == 60
+
+
+def test_mixture_steps_equal_the_estimator(spark):
+    """Steps by matrix products end at the components, the assignments and the number of steps of Spark's estimator."""
+    from pyspark.ml.clustering import GaussianMixture
+    from pyspark.ml.functions import array_to_vector
+    rng = np.random.default_rng(10)
+    x = rng.normal(0, 1, (900, 4)) * (1 + np.arange(4)) + rng.integers(0, 3, 900)[:, None] * 6.0
+    x[:, 3] = x[:, 0]  # a covariance without an inverse
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "i int, a array<double>").select("i", array_to_vector("a").alias("features")).persist()
+    for steps in (3, 60):
+        want = GaussianMixture(k=3, seed=MD.SEED, maxIter=steps, predictionCol="cluster").fit(df)
+        weights, means, covariances = MD.gaussian_mixture(df, 3, steps)
+        assert np.allclose(weights, want.weights, rtol=1e-6)
+        for i, r in enumerate(want.gaussiansDF.collect()):
+            assert np.allclose(means[i], r["mean"].toArray(), rtol=1e-6) and np.allclose(covariances[i], r["cov"].toArray(), rtol=1e-5, atol=1e-8)
+        both = want.transform(df).select("i", "cluster").join(MD.mixture_assign(weights, means, covariances)(df).select("i", F.col("cluster").alias("own")), "i")
+        assert both.filter("cluster <> own").count() == 0 and both.count() == 900
+
+
+def test_large_mixtures_are_fitted_in_blocks(spark, monkeypatch):
+    from pyspark.ml.functions import array_to_vector
+    rng = np.random.default_rng(11)
+    x = rng.normal(0, 1, (300, 2)) + rng.integers(0, 2, 300)[:, None] * 9.0
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "i int, a array<double>").select("i", array_to_vector("a").alias("features")).persist()
+    steps, summed, found = [], MD._summed, []
+    monkeypatch.setattr(MD, "_summed", lambda *a: steps.append(1) or summed(*a))
+    for work in (MD.BLOCK_WORK, 300 * 2 * 4):
+        monkeypatch.setattr(MD, "BLOCK_WORK", work)
+        found.append({r["i"]: r["cluster"] for r in MD.cluster_model(df, "gmm", 2, 50)(df).collect()})
+        assert bool(steps) == (work == 300 * 2 * 4)
+    assert found[0] == found[1] and len(found[0]) == 300
+    assert MD.cluster_model(df, "gmm", 2, 1)(df).columns == ["i", "features", "cluster"]
+
+
+def test_detectors_are_fitted_two_at_a_time(spark, monkeypatch):
+    """Each of two fits waits for the other: one after the other they would never meet."""
+    import threading
+    from streamguard.plans import detection as DT
+    met = threading.Barrier(2, timeout=60)
+
+    def fitted(spark, sf, mode, model):
+        met.wait()
+        return spark.createDataFrame([(mode, model)], "mode string, model string")
+    monkeypatch.setattr(DT, "frame", lambda *a: None)
+    monkeypatch.setattr(DT, "_ready", lambda *a: None, raising=False)
+    monkeypatch.setattr(DT, "predictions", fitted)
+    got = DT.all_predictions(spark, "none", ["gmm", "kmeans"]).collect()
+    assert [tuple(r) for r in got] == [(mode, m) for mode in ("core", "full") for m in ("gmm", "kmeans")]
